@@ -144,7 +144,7 @@ HISTOGRAM = {
     "COUNT_DISTINCT": "count(v)",
     "COUNT_MINUS_DISTINCT": "sum(k) - count(v)",
     "PERCENT_UNIQUE": "count(v) / sum(k)",
-    "MODE": "max(struct(k AS k, o AS o, v AS v)).v",
+    "MODE": "min(struct(-k AS k, v AS v)).v",
     "NUM_MAX": "max(struct(v AS v, k AS k)).k",
     "NUM_MIN": "min(struct(v AS v, k AS k)).k",
     "ENTROPY": "greatest(ln(sum(k)) - sum(k * ln(k)) / sum(k), 0D)",

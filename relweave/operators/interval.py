@@ -82,9 +82,10 @@ def _source_ctes(join: IntervalJoin, inputs: dict[str, str], numeric: set[str])
         f", CAST({sql} AS DOUBLE) AS {x}" if x in numeric else f", {sql} AS {x}" for sql, x in inputs.items()
     )
     present = " AND ".join([f"{k} IS NOT NULL" for k in join.right_keys] + [f"{join.right_order} IS NOT NULL"])
+    sides = "explode(array(1, 2))" if join.memory is not None else "1"
     return (
         f"r AS (SELECT {keys_r}{join.right_order} AS o{values} FROM right_rows WHERE {present}),\n"
-        f"l AS (SELECT {keys_l}{join.left_order} - {join.horizon} AS o, {ids} FROM left_rows)"
+        f"l AS (SELECT {keys_l}{join.left_order} - {join.horizon} AS o, {ids}, {sides} AS side FROM left_rows)"
     )
 
 
@@ -185,7 +186,17 @@ def markers_sql(join: IntervalJoin) -> str:
     """Right rows and left markers under one schema, for counting group sizes."""
     nkeys = len(join.left_keys)
     ctes = _source_ctes(join, {}, set())
-    return f"WITH {ctes}\nSELECT {_keys(nkeys)}{_block(join)} AS blk, o FROM r"
+    present = " AND ".join([f"k{i} IS NOT NULL" for i in range(nkeys)] + ["o IS NOT NULL"])
+    at = _marker_order(join)
+    return (
+        f"WITH {ctes}\nSELECT {_keys(nkeys)}{_block(join)} AS blk, o FROM r\nUNION ALL "
+        f"SELECT {_keys(nkeys)}{_block(join, at)} AS blk, {at} AS o FROM l WHERE {present}"
+    )
+
+
+def _marker_order(join: IntervalJoin) -> str:
+    """Where a left row enters: at the end (side 1) and just before the start (side 2) of its window."""
+    return "o" if join.memory is None else f"(CASE side WHEN 2 THEN o - {join.memory}L ELSE o END)"
 
 
 def mergeable_sql(join: IntervalJoin, aggs, hot: bool) -> str:
@@ -197,16 +208,11 @@ def mergeable_sql(join: IntervalJoin, aggs, hot: bool) -> str:
     rid_nulls = ", ".join(f"NULL AS r{i}" for i in range(len(join.row_id)))
     bounded = join.memory is not None
     ctes = [_source_ctes(join, inputs, _numeric_inputs(aggs, inputs))]
+    at = _marker_order(join)
     parts = [
         f"SELECT {_keys(nkeys)}{_block(join)} AS blk, o, 0 AS side, {rid_nulls}{xs} FROM r",
-        f"SELECT {_keys(nkeys)}{_marker_block(join, 'o')} AS blk, o, 1 AS side, {_rids(join)}{nulls} FROM l",
+        f"SELECT {_keys(nkeys)}{_marker_block(join, at)} AS blk, {at} AS o, side, {_rids(join)}{nulls} FROM l",
     ]
-    if bounded:
-        lower = f"o - {join.memory}L"
-        parts.append(
-            f"SELECT {_keys(nkeys)}{_marker_block(join, lower)} AS blk, {lower} AS o, 2 AS side, "
-            f"{_rids(join)}{nulls} FROM l"
-        )
     ctes.append("u AS (\n  " + "\n  UNION ALL ".join(parts) + ")")
     source, part = "u", f"{_keys(nkeys)}blk"
     if hot:
@@ -296,7 +302,8 @@ def holistic_sql(join: IntervalJoin, aggs) -> str:
     ctes.append(
         f"u AS (SELECT {_keys(nkeys)}explode(array({_block(join)}, {_block(join)} + 1)) AS blk, o, 0 AS side, "
         f"{rid_nulls}{xs} FROM r\n"
-        f"  UNION ALL SELECT {_keys(nkeys)}{_marker_block(join, 'o')} AS blk, o, 1 AS side, {_rids(join)}{nulls} FROM l)"
+        f"  UNION ALL SELECT {_keys(nkeys)}{_marker_block(join, 'o')} AS blk, o, side, {_rids(join)}{nulls} FROM l"
+        " WHERE side = 1)"
     )
     modes = {a.value_sql for a in aggs if a.func == "MODE"}
     means = {a.value_sql for a in aggs if a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN")}

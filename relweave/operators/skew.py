@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import plan_bytes
+from ..session import output_bytes, plan_bytes
 
 MAX_HOT_GROUPS = 4096
 MAX_SEGMENTS = 1024
@@ -90,7 +90,7 @@ def _broadcastable(df: DataFrame) -> bool:
     units = {"k": 2**10, "m": 2**20, "g": 2**30}
     text = text.lower().rstrip("b")
     threshold = int(text[:-1]) * units[text[-1]] if text[-1:] in units else int(text)
-    return threshold > 0 and plan_bytes(df) <= threshold
+    return threshold > 0 and output_bytes(df) <= threshold
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
