@@ -63,6 +63,7 @@ def resolve(place: Placeholder, tables: dict[str, DataFrame], spec: Propositiona
             sources.update({new: inner[old] for old, new in added.items()})
         else:
             relation = spec.relation(df, join, right, inner, (*path, join.right.name), limit=spec.num_subfeatures)
+            spec.nested[(*path, join.right.name)] = relation
             df = attach(df, place.row_id, relation)
             names = feature_names(relation)
             for agg in relation.aggs:
@@ -72,6 +73,7 @@ def resolve(place: Placeholder, tables: dict[str, DataFrame], spec: Propositiona
     if spec.shared and any(not j.is_lookup for j in place.joins):
         # several statements read these rows; compute the inner aggregates once
         df = shared_rows(df)
+    spec.columns[path] = df.columns
     return df, sources
 
 
@@ -149,6 +151,8 @@ class Propositionalizer:
         self.quantiles, self.half_lives, self.compare_units = quantiles, half_lives, compare_units
         self.shared = shared
         self._compiled: tuple | None = None
+        self.nested: dict[tuple[str, ...], Relation] = {}  # inner relations by path
+        self.columns: dict[tuple[str, ...], list[str]] = {}  # columns of resolved tables by path
         self.relations: list[Relation] | None = None
         self.selected: list[str] | None = None
         self._categories: dict[tuple, list] = {}

@@ -1,0 +1,4 @@
+"""All registered queries."""
+
+from . import aggregations, annotations, evaluation, expressions, features, joins, learning, models, relations, reshape, stores  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401
