@@ -166,7 +166,7 @@ def _around(spark, d, aggs):
     return rounded(grouping.group_aggregate(table(spark, d, "orders"), ["o_custkey"], aggs))
 
 
-@query("a20_around_mean_grp", AROUND.format(cols="CAST(count_if(o_totalprice > mu) AS BIGINT) AS above, CAST(count_if(o_totalprice < mu) AS BIGINT) AS below"))
+@query("a20_around_mean_grp", AROUND.format(cols="count(CASE WHEN o_totalprice > mu THEN 1 END) AS above, count(CASE WHEN o_totalprice < mu THEN 1 END) AS below"))
 def _(spark, d):
     out = _around(spark, d, [Agg("COUNT_ABOVE_MEAN", "o_totalprice", name="above"), Agg("COUNT_BELOW_MEAN", "o_totalprice", name="below")])
     return out.select("o_custkey", F.col("above").cast("bigint").alias("above"), F.col("below").cast("bigint").alias("below"))
@@ -180,7 +180,7 @@ SELECT event_id, {{cols}} FROM p JOIN m USING (event_id) GROUP BY event_id"""
 
 @query(
     "a20_a21_extremes_win",
-    EXTREMES.format(cols="CAST(count_if(v = hi) AS BIGINT) AS num_max, CAST(count_if(v = lo) AS BIGINT) AS num_min, CAST(count_if(v > mu) AS BIGINT) AS above, CAST(count_if(v < mu) AS BIGINT) AS below"),
+    EXTREMES.format(cols="count(CASE WHEN v = hi THEN 1 END) AS num_max, count(CASE WHEN v = lo THEN 1 END) AS num_min, count(CASE WHEN v > mu THEN 1 END) AS above, count(CASE WHEN v < mu THEN 1 END) AS below"),
 )
 def _(spark, d):
     v = "CAST(floor(value) AS INT)"
@@ -194,7 +194,7 @@ def _(spark, d):
 @query(
     "a21_num_max_min_grp",
     """WITH m AS (SELECT l_orderkey, max(l_discount) AS hi, min(l_discount) AS lo FROM lineitem GROUP BY l_orderkey)
-    SELECT l_orderkey, CAST(count_if(l_discount = hi) AS BIGINT) AS num_max, CAST(count_if(l_discount = lo) AS BIGINT) AS num_min
+    SELECT l_orderkey, count(CASE WHEN l_discount = hi THEN 1 END) AS num_max, count(CASE WHEN l_discount = lo THEN 1 END) AS num_min
     FROM lineitem JOIN m USING (l_orderkey) GROUP BY l_orderkey""",
 )
 def _(spark, d):
