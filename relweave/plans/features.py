@@ -10,14 +10,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import aggregates as A
 from ..functions.aggregates import MERGEABLE, Agg
-from ..operators import grouping, interval, skew
+from ..operators import grouping, interval, moments, skew
 from ..operators import roles as R
 from ..session import checkpoint
 from .model import DataModel, Join, Placeholder, View
@@ -256,9 +255,8 @@ class Propositionalizer:
             rows = view.population
             if self.sampling_factor < 1:
                 rows = sample_by_key(rows, model.population.row_id, self.sampling_factor)
-            flat = self._features(model, View(rows, view.peripheral), [target]).persist(StorageLevel.MEMORY_AND_DISK)
+            flat = self._features(model, View(rows, view.peripheral), [target])
             ranked = correlations(flat, self.selected, target)
-            flat.unpersist()
             self.selected = [n for n, _ in sorted(ranked.items(), key=lambda p: (-abs(p[1]), p[0]))][: self.num_features]
         return self
 
@@ -305,15 +303,10 @@ def sample_by_key(df: DataFrame, keys, share: float, seed: int = 1) -> DataFrame
     return df.where(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
 
 
-def correlations(df: DataFrame, columns: list[str], target: str, chunk: int = 200) -> dict[str, float]:
-    """Pearson correlation of every column with the target: one pass per 200 columns."""
-    out: dict[str, float] = {}
-    y = F.col(f"`{target}`").cast("double")
-    for start in range(0, len(columns), chunk):
-        part = columns[start : start + chunk]
-        row = df.agg(*[F.corr(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)), y) for c in part]).first()
-        out.update({c: (v if v is not None and v == v else 0.0) for c, v in zip(part, row)})
-    return out
+def correlations(df: DataFrame, columns: list[str], target: str) -> dict[str, float]:
+    """Pearson correlation of every column with the target in one pass; missing values count as 0."""
+    _, _, var, cov, _, var_y = moments.cross_moments(df, columns, F.col(f"`{target}`"))
+    return dict(zip(columns, moments.pearson(var, cov, var_y).tolist()))
 
 
 def combine(parts: list[DataFrame], row_id) -> DataFrame:

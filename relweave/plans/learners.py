@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import Agg
+from ..operators import moments
 from ..operators import roles as R
 from .features import Feature, Propositionalizer, Relation, _literal, attach, feature_names, resolve
 from .model import PROPOSITIONALIZATION, DataModel, View
 
 SQUARE, CROSS_ENTROPY = "square", "cross_entropy"
-CHUNK = 400  # sums per aggregation
 
 
 def residual(target: str, score: Column, loss: str) -> Column:
@@ -85,9 +85,7 @@ class ConditionSearch(_Search):
         self.aggregation = aggregation
 
     def fit(self, model: DataModel, view: View, target: str) -> ConditionSearch:
-        rid = list(model.population.row_id)
-        needed = {l for j in model.population.joins for l, _ in j.on} | {j.time_stamps[0] for j in model.population.joins if j.time_stamps}
-        rows = view.population.select(*dict.fromkeys([*rid, target, *sorted(needed)]))
+        rows = _needed(model, view, target)
         self.relations = self._relations(model, view)
         candidates: dict[str, tuple[int, Agg]] = {}
         for i, relation in enumerate(self.relations):
@@ -95,21 +93,18 @@ class ConditionSearch(_Search):
             rows, names = self._attach(model, rows, relation, aggs)
             candidates.update({n: (i, a) for n, a in zip(names, aggs)})
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        score = F.lit(0.0) + float(rows.agg(F.avg(F.col(target).cast("double"))).first()[0] or 0.0) if self.loss == SQUARE else F.lit(0.0)
+        names = list(candidates)
+        fitted = _Score(rows, names, target, self.loss)
         self.chosen: list[tuple[int, Agg]] = []
-        left = list(candidates)
-        for _ in range(min(self.num_features, len(left))):
-            r = residual(target, score, self.loss)
-            stats = _in_chunks(rows, [[F.corr(F.col(f"`{c}`"), r), F.regr_slope(r, F.col(f"`{c}`")), F.regr_intercept(r, F.col(f"`{c}`"))] for c in left])
-            strength = [abs(s[0]) if s[0] is not None and s[0] == s[0] else 0.0 for s in stats]
-            best = int(np.argmax(strength))
-            if strength[best] <= 1e-9:
+        for _ in range(min(self.num_features, len(names))):
+            gradient, var_r = fitted.gradient()
+            r = np.abs(moments.pearson(fitted.var, gradient, var_r))
+            r[[names.index(n) for n in fitted.used]] = 0.0
+            best = int(np.argmax(r))
+            if r[best] <= 1e-6:
                 break
-            name = left.pop(best)
-            self.chosen.append(candidates[name])
-            slope, intercept = stats[best][1] or 0.0, stats[best][2] or 0.0
-            scale = self.shrinkage if self.loss == SQUARE else 4.0 * self.shrinkage
-            score = score + scale * (F.lit(float(intercept)) + F.lit(float(slope)) * F.col(f"`{name}`"))
+            self.chosen.append(candidates[names[best]])
+            fitted.add({names[best]: gradient[best] / fitted.var[best]}, self.shrinkage)
         rows.unpersist()
         return self
 
@@ -142,22 +137,54 @@ class ConditionSearch(_Search):
         return rows.select(*model.population.row_id, *[F.col(f"`{f.name}`") for f in self.features()])
 
 
+def _needed(model: DataModel, view: View, target: str) -> DataFrame:
+    """Row id, target and the columns the joins use."""
+    joins = model.population.joins
+    used = {l for j in joins for l, _ in j.on} | {j.time_stamps[0] for j in joins if j.time_stamps}
+    rows = view.population.select(*dict.fromkeys([*model.population.row_id, target, *sorted(used)]))
+    return rows.where(F.col(target).isNotNull())
+
+
 def _names(agg: Agg) -> list[str]:
     text = f"{agg.column or ''} {agg.condition or ''}"
     return [p for i, p in enumerate(text.split("`")) if i % 2]
 
 
-def _in_chunks(rows: DataFrame, groups: list[list[Column]]) -> list[list]:
-    """Evaluate groups of aggregates, at most CHUNK per pass over the persisted rows."""
-    size = max(1, CHUNK // max(1, len(groups[0])))
-    out = []
-    for start in range(0, len(groups), size):
-        part = groups[start : start + size]
-        values = list(rows.agg(*[c.alias(f"v{i}_{j}") for i, g in enumerate(part) for j, c in enumerate(g)]).first())
-        for g in part:
-            out.append(values[: len(g)])
-            values = values[len(g) :]
-    return out
+class _Score:
+    """Current score as a linear function of candidate columns, and its gradient.
+
+    The covariances of all candidates are summed once. With the square loss every
+    later residual is linear in them, so no further pass over the rows is needed; the
+    cross entropy needs one pass per round, for the covariances with the residual.
+    """
+
+    def __init__(self, rows: DataFrame, names: list[str], target: str, loss: str):
+        self.rows, self.names, self.target, self.loss = rows, names, target, loss
+        self.moments = moments.covariances(rows, [*names, target])
+        self.var = np.maximum(np.diag(self.moments.cov)[:-1], 0.0)
+        self.weights = np.zeros(len(names))
+        mean = float(self.moments.mean[-1])
+        self.constant = mean if loss == SQUARE else 0.0
+        self.used: list[str] = []
+
+    def gradient(self) -> tuple[np.ndarray, float]:
+        """Covariance of each candidate with the residual, and the residual's variance."""
+        if self.loss == SQUARE:
+            full = np.append(-self.weights, 1.0)
+            cov = self.moments.cov @ full
+            return cov[:-1], float(max(full @ cov, 0.0))
+        score = _linear(self.names, self.weights) + F.lit(self.constant)
+        _, _, _, cov, mean, var = moments.cross_moments(self.rows, self.names, residual(self.target, score, self.loss))
+        self.constant += 4.0 * mean
+        return cov, var
+
+    def add(self, weights: dict[str, float], shrinkage: float) -> None:
+        scale = shrinkage if self.loss == SQUARE else 4.0 * shrinkage
+        for name, w in weights.items():
+            i = self.names.index(name)
+            self.weights[i] += scale * w
+            self.constant -= scale * w * float(self.moments.mean[i])
+            self.used.append(name)
 
 
 @dataclass
@@ -193,120 +220,100 @@ class BoostedAggregates(_Search):
         return atoms
 
     def fit(self, model: DataModel, view: View, target: str) -> BoostedAggregates:
-        rid = list(model.population.row_id)
-        needed = {l for j in model.population.joins for l, _ in j.on} | {j.time_stamps[0] for j in model.population.joins if j.time_stamps}
-        rows = view.population.select(*dict.fromkeys([*rid, target, *sorted(needed)]))
+        rows = _needed(model, view, target)
         self.relations = self._relations(model, view)
         self.trees: list[tuple[int, list[Leaf]]] = []
         base, splits = {}, {}
         conditions = [self.conditions(r) for r in self.relations]
         for i, relation in enumerate(self.relations):
-            aggs, groups = [], [("all", None)] + [(f"c{k}", c) for k, c in enumerate(conditions[i])]
-            for tag, cond in groups:
-                aggs += self._atoms(relation, cond, tag)
+            groups = [("all", None)] + [(f"c{k}", c) for k, c in enumerate(conditions[i])]
+            aggs = [a for tag, cond in groups for a in self._atoms(relation, cond, tag)]
             rows, names = self._attach(model, rows, relation, aggs)
             width = len(aggs) // len(groups)
             base[i] = names[:width]
             splits[i] = {c: names[width * (k + 1) : width * (k + 2)] for k, c in enumerate(conditions[i])}
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        mean = float(rows.agg(F.avg(F.col(target).cast("double"))).first()[0] or 0.0) if self.loss == SQUARE else 0.0
-        score = F.lit(mean)
-        for number in range(self.num_features):
-            tree = self._tree(model, rows, base, splits, conditions, residual(target, score, self.loss))
-            if tree is None:
+        names = list(dict.fromkeys(c for i in base for c in [*base[i], *[n for part in splits[i].values() for n in part]]))
+        score = _Score(rows, names, target, self.loss)
+        for _ in range(self.num_features):
+            gradient, _ = score.gradient()
+            slopes = dict(zip(names, gradient))
+            found = [(i, self._best(score.moments, base[i], splits[i], slopes)) for i in base]
+            found = [(i, f) for i, f in found if f is not None]
+            if not found:
                 break
-            i, leaves, value = tree
-            if len(leaves) > 2:
-                # the leaves of a deep tree are new aggregates: bring the tree's exact value to the rows
-                aggs = [a for k, leaf in enumerate(leaves) for a in self._atoms(self.relations[i], leaf.condition, f"v{number}_{k}")]
-                wide, names = self._attach(model, rows, self.relations[i], aggs)
-                fitted = _linear(names, np.concatenate([leaf.weights for leaf in leaves]))
-                shift = float(wide.agg(F.avg(residual(target, score, self.loss) - fitted)).first()[0] or 0.0)
-                wide = wide.withColumn(f"__tree{number}", fitted + F.lit(shift)).drop(*names)
-                old, rows = rows, wide.persist(StorageLevel.MEMORY_AND_DISK)
-                rows.count()
-                old.unpersist()
-                value = F.col(f"__tree{number}")
+            i, (_, cond, weights) = max(found, key=lambda p: p[1][0])
+            columns = [*base[i], *splits[i][cond]]
+            score.add(dict(zip(columns, weights)), self.shrinkage)
+            width = len(base[i])
+            # atoms of the split and of its parent: matched rows get both weights, the others the parent's
+            leaves = [Leaf(cond, weights[:width] + weights[width:]), Leaf(f"NOT coalesce({cond}, false)", weights[:width])]
+            for depth in range(1, self.max_depth):
+                leaves = self._deepen(model, rows, i, leaves, conditions[i], target, score, depth)
             self.trees.append((i, leaves))
-            scale = self.shrinkage if self.loss == SQUARE else 4.0 * self.shrinkage
-            score = score + F.lit(scale) * value
+            if self.max_depth > 1 and len(leaves) > 2:
+                rows, score = self._rebase(model, rows, names, i, leaves, target, score, weights, columns)
         rows.unpersist()
         return self
 
-    def _tree(self, model, rows, base, splits, conditions, r):
-        """Grow one tree: the best first split over all relations, then deeper in that relation."""
-        best = None
-        for i in base:
-            found = self._best(rows, base[i], splits[i], r)
-            if found and (best is None or found[0] > best[1][0]):
-                best = (i, found)
-        if best is None:
-            return None
-        i, (_, cond, weights, intercept) = best
-        width = len(base[i])
-        # z = atoms of the split, b = atoms of the parent: matched rows get w_b + w_z, the others w_b
-        leaves = [Leaf(cond, weights[:width] + weights[width:]), Leaf(f"NOT coalesce({cond}, false)", weights[:width])]
-        value = _linear([*base[i], *splits[i][cond]], weights) + F.lit(intercept)
+    def _deepen(self, model, rows, i, leaves, conditions, target, score, depth) -> list[Leaf]:
+        """Split every leaf again; one aggregation and one pass for all leaves of a level."""
         relation = self.relations[i]
-        for depth in range(1, self.max_depth):
-            grown = []
-            for number, leaf in enumerate(leaves):
-                tagged, aggs = {}, self._atoms(relation, leaf.condition, f"d{depth}_{number}")
-                for k, c in enumerate(conditions[i]):
-                    both = f"({leaf.condition}) AND ({c})"
-                    tagged[c] = (both, self._atoms(relation, both, f"d{depth}_{number}_{k}"))
-                wide, names = self._attach(model, rows, relation, aggs + [a for _, part in tagged.values() for a in part])
-                wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
-                leaf_names = names[:width]
-                inner = {c: names[width * (k + 1) : width * (k + 2)] for k, c in enumerate(tagged)}
-                found = self._best(wide, leaf_names, inner, r - value)
-                wide.unpersist()
-                if found is None:
-                    grown.append(leaf)
-                    continue
-                _, c, w, b = found
-                grown.append(Leaf(tagged[c][0], leaf.weights + w[:width] + w[width:]))
-                grown.append(Leaf(f"({leaf.condition}) AND NOT coalesce({c}, false)", leaf.weights + w[:width]))
-            leaves = grown
-        return i, leaves, value
-
-    def _best(self, rows, base, splits, r):
-        """Condition with the largest explained sum of squares, and its weights."""
-        if not splits:
-            return None
-        p = len(base)
-        groups, order = [], list(splits)
-        b = [F.col(f"`{c}`").cast("double") for c in base]
-        shared = [F.covar_pop(b[k], b[m]) for k in range(p) for m in range(k, p)] + [F.covar_pop(x, r) for x in b]
-        shared += [F.avg(x) for x in b] + [F.avg(r), F.count(F.lit(1)), F.sum(b[0])]
-        head = list(rows.agg(*[c.alias(f"h{i}") for i, c in enumerate(shared)]).first())
-        for cond in order:
-            z = [F.col(f"`{c}`").cast("double") for c in splits[cond]]
-            sums = [F.covar_pop(z[k], z[m]) for k in range(p) for m in range(k, p)]
-            sums += [F.covar_pop(z[k], b[m]) for k in range(p) for m in range(p)]
-            sums += [F.covar_pop(x, r) for x in z] + [F.avg(x) for x in z] + [F.sum(z[0])]
-            groups.append(sums)
-        stats = _in_chunks(rows, groups)
-        tri = p * (p + 1) // 2
+        aggs, parts = [], []
+        for number, leaf in enumerate(leaves):
+            parts.append((leaf, None, len(aggs)))
+            aggs += self._atoms(relation, leaf.condition, f"d{depth}_{number}")
+            for k, c in enumerate(conditions):
+                parts.append((leaf, c, len(aggs)))
+                aggs += self._atoms(relation, f"({leaf.condition}) AND ({c})", f"d{depth}_{number}_{k}")
+        value = _linear(score.names, score.weights) + F.lit(score.constant)
+        wide, names = self._attach(model, rows, relation, aggs)
+        wide = wide.withColumn("__r", residual(target, value, self.loss))
+        found = moments.covariances(wide, [*names, "__r"])
+        slopes = dict(zip(names, found.cov[:-1, -1]))
+        width = len(leaves[0].weights)
+        at = {(id(leaf), c): names[p : p + width] for leaf, c, p in parts}
+        out = []
+        for leaf in leaves:
+            best = self._best(found, at[id(leaf), None], {c: at[id(leaf), c] for c in conditions}, slopes)
+            if best is None:
+                out.append(leaf)
+                continue
+            _, c, w = best
+            out.append(Leaf(f"({leaf.condition}) AND ({c})", leaf.weights + w[:width] + w[width:]))
+            out.append(Leaf(f"({leaf.condition}) AND NOT coalesce({c}, false)", leaf.weights + w[:width]))
+        return out
+
+    def _rebase(self, model, rows, names, i, leaves, target, score, weights, columns):
+        """Bring the value of a deep tree to the rows: later trees must fit what it leaves."""
+        tag = f"t{len(self.trees)}"
+        aggs = [a for k, leaf in enumerate(leaves) for a in self._atoms(self.relations[i], leaf.condition, f"{tag}_{k}")]
+        wide, atoms = self._attach(model, rows, self.relations[i], aggs)
+        deep = _linear(atoms, np.concatenate([leaf.weights for leaf in leaves])) - _linear(columns, weights)
+        wide = wide.withColumn(f"__{tag}", deep).drop(*atoms).persist(StorageLevel.MEMORY_AND_DISK)
+        extra = [*score.names, f"__{tag}"]
+        renewed = _Score(wide, extra, target, self.loss)
+        renewed.weights[: len(score.names)] = score.weights
+        renewed.constant, renewed.used = score.constant, score.used
+        renewed.add({f"__{tag}": 1.0}, self.shrinkage)
+        rows.unpersist()
+        return wide, renewed
+
+    def _best(self, stats: moments.Moments, base: list[str], splits: dict[str, list[str]], slopes: dict[str, float]):
+        """Condition whose normal equations explain most of the residual, and its weights."""
         best = None
-        for cond, s in zip(order, stats):
-            matched, total = s[-1] or 0.0, head[-1] or 0.0
+        total = stats.mean[stats.index[base[0]]] * stats.n
+        for cond, names in splits.items():
+            matched = stats.mean[stats.index[names[0]]] * stats.n
             if min(matched, total - matched) < self.min_num_samples:
                 continue
-            gram = np.zeros((2 * p, 2 * p))
-            upper = np.triu_indices(p)
-            gram[:p, :p][upper] = head[:tri]
-            gram[p:, p:][upper] = s[:tri]
-            gram = gram + gram.T - np.diag(np.diag(gram))
-            cross = np.array(s[tri : tri + p * p], dtype=float).reshape(p, p)
-            gram[p:, :p], gram[:p, p:] = cross, cross.T
-            rhs = np.array([*head[tri : tri + p], *s[tri + p * p : tri + p * p + p]], dtype=float)
-            gram[np.diag_indices(2 * p)] += self.reg_lambda / max(head[-2], 1)
+            columns = [*base, *names]
+            gram = stats.block(columns, columns) + np.eye(len(columns)) * self.reg_lambda / max(stats.n, 1)
+            rhs = np.array([slopes[c] for c in columns])
             weights = np.linalg.lstsq(gram, rhs, rcond=1e-10)[0]
             gain = float(weights @ rhs)
-            if np.isfinite(gain) and gain > 1e-12 and (best is None or gain > best[0]):
-                means = np.array([*head[tri + p : tri + 2 * p], *s[tri + p * p + p : tri + p * p + 2 * p]], dtype=float)
-                best = (gain, cond, weights, float(head[-3] - weights @ means))
+            if np.isfinite(gain) and gain > 1e-9 and (best is None or gain > best[0]):
+                best = (gain, cond, weights)
         return best
 
     def features(self) -> list[Feature]:

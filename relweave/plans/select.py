@@ -6,26 +6,27 @@ from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import moments
 from ..operators import roles as R
-from .features import Feature, correlations
+from .features import Feature
 from .model import DataModel
 from .predict import INPUT, Predictor, assemble
 
 
 def with_variance(df: DataFrame, columns: list[str]) -> list[str]:
     """Columns that are not constant (missing values count as 0)."""
-    out = []
-    for start in range(0, len(columns), 200):
-        part = columns[start : start + 200]
-        row = df.agg(*[F.var_pop(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0))).alias(c) for c in part]).first()
-        out += [c for c in part if (row[c] or 0.0) > 0.0]
-    return out
+    _, _, var, _, _, _ = moments.cross_moments(df, columns, F.lit(0.0))
+    return [c for c, v in zip(columns, var) if v > 0.0]
 
 
 def top_correlated(df: DataFrame, columns: list[str], target: str, n: int) -> list[str]:
     """The n columns with the largest absolute Pearson correlation; constant ones are left out."""
-    ranked = correlations(df, with_variance(df, columns), target)
-    return [c for c, _ in sorted(ranked.items(), key=lambda p: (-abs(p[1]), p[0]))][:n]
+    if not columns:
+        return []
+    _, _, var, cov, _, var_y = moments.cross_moments(df, columns, F.col(f"`{target}`"))
+    r = moments.pearson(var, cov, var_y)
+    ranked = sorted((-abs(v), c) for c, v, s in zip(columns, r, var) if s > 0.0)
+    return [c for _, c in ranked[:n]]
 
 
 def select_relevant(df: DataFrame, columns: list[str], target: str, fdr: float = 0.05, label_type: str = "continuous") -> list[str]:
