@@ -75,7 +75,7 @@ def main() -> None:
         "bench", f"local[{CPUS}]",
         **{
             "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false", "spark.driver.memory": "12g",
-            "spark.ui.showConsoleProgress": "false", "spark.sql.codegen.maxFields": "500",
+            "spark.ui.showConsoleProgress": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -14,7 +14,8 @@ block that is still too large is cut into segments whose totals are carried over
 
 Quantiles, modes and distinct counts do not merge. For them left rows and right rows
 meet in (key, block) partitions, where right rows also visit the next block, and a
-sliding frame gathers the values.
+sliding frame gathers the values. When the data show that windows are short, the
+sliding frame serves all aggregates, as it needs one shuffle only.
 
 The statements are plain Spark SQL, so the same text can be saved as a script.
 """
@@ -288,46 +289,115 @@ def _carry_sql(join: IntervalJoin, states: _States, part: str, distance: str) ->
     )
 
 
-def holistic_sql(join: IntervalJoin, aggs) -> str:
-    """Sliding frames inside (key, block); right rows visit their block and the next."""
+def _bound(ticks: int) -> str:
+    return f"{ticks} PRECEDING" if ticks >= 0 else f"{-ticks} FOLLOWING"
+
+
+def sliding_sql(join: IntervalJoin, aggs, self_join: bool = False, factor: int = 1) -> str:
+    """Sliding frames inside (key, wide block); right rows also visit the next block if a window reaches back to them.
+
+    A table joined to itself needs no markers: its rows are both sides, and the frame
+    itself is shifted by the horizon.
+    """
     if join.memory is None:
         bad = ", ".join(a.func for a in aggs)
         raise NotDecomposable(f"{bad}: an exact value over an unbounded window needs a memory")
     nkeys = len(join.left_keys)
+    mergeable, holistic = [a for a in aggs if a.mergeable], [a for a in aggs if not a.mergeable]
     inputs = _inputs(join, aggs)
-    nulls = "".join(f", NULL AS {x}" for x in inputs.values())
-    rid_nulls = ", ".join(f"NULL AS r{i}" for i in range(len(join.row_id)))
-    xs = "".join(f", {x}" for x in inputs.values())
-    ctes = [_source_ctes(join, inputs, _numeric_inputs(aggs, inputs))]
-    ctes.append(
-        f"u AS (SELECT {_keys(nkeys)}explode(array({_block(join)}, {_block(join)} + 1)) AS blk, o, 0 AS side, "
-        f"{rid_nulls}{xs} FROM r\n"
-        f"  UNION ALL SELECT {_keys(nkeys)}{_marker_block(join, 'o')} AS blk, o, side, {_rids(join)}{nulls} FROM l"
-        " WHERE side = 1)"
-    )
-    modes = {a.value_sql for a in aggs if a.func == "MODE"}
-    means = {a.value_sql for a in aggs if a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN")}
-    cols = []
-    for sql, x in inputs.items():
-        cols.append(f"array_sort(collect_list({x}) OVER f) AS a_{x}")
-        if sql in modes:
-            cols.append(f"mode({x}, true) OVER f AS mode_{x}")
-        if sql in means:
-            cols.append(f"avg({x}) OVER f AS m_{x}")
+    states = _States(join, mergeable, inputs)
+    h, m = join.horizon, join.memory
+    if self_join:
+        width = factor * (m + abs(h))
+        first, last = f"least({_wide('o', width)}, {_wide(f'o + {h}L', width)})", _wide(f"o + {h + m - 1}L", width)
+        present = " AND ".join([f"{k} IS NOT NULL" for k in join.right_keys] + [f"{join.right_order} IS NOT NULL"])
+        keys = "".join(f"{k} AS k{i}, " for i, k in enumerate(join.right_keys))
+        ids = ", ".join(f"{c} AS r{i}" for i, c in enumerate(join.row_id))
+        numeric = _numeric_inputs(aggs, inputs)
+        # a row without key or time takes part in no window: its values are masked
+        values = "".join(
+            f", CASE WHEN {present} THEN {f'CAST({sql} AS DOUBLE)' if x in numeric else sql} END AS {x}" for sql, x in inputs.items()
+        )
+        ctes = [
+            f"s AS (SELECT {keys}{join.right_order} AS o, {ids}{values}, {present} AS present FROM right_rows)",
+            f"u AS (SELECT *, explode(CASE WHEN present THEN sequence({first}, greatest({_wide('o', width)}, {last}))"
+            f" ELSE array(pmod(xxhash64({_rids(join)}), 4096L)) END) AS blk FROM s)",
+        ]
+        home = f"(NOT present OR blk = {_wide('o', width)})"
+        frame, now = f"RANGE BETWEEN {_bound(h + m - 1)} AND {_bound(h)}", f"(o - {h}L)"
+    else:
+        width = factor * m
+        xs, nulls = "".join(f", {x}" for x in inputs.values()), "".join(f", NULL AS {x}" for x in inputs.values())
+        rid_nulls = ", ".join(f"NULL AS r{i}" for i in range(len(join.row_id)))
+        missing = " OR ".join([f"k{i} IS NULL" for i in range(nkeys)] + ["o IS NULL"])
+        ctes = [_source_ctes(join, inputs, _numeric_inputs(aggs, inputs))]
+        ctes.append(
+            f"u AS (SELECT {_keys(nkeys)}explode(sequence({_wide('o', width)}, {_wide(f'o + {m - 1}L', width)})) AS blk,"
+            f" o, false AS home, {rid_nulls}{xs} FROM r\n"
+            f"  UNION ALL SELECT {_keys(nkeys)}CASE WHEN {missing} THEN pmod(xxhash64({_rids(join)}), 4096L)"
+            f" ELSE {_wide('o', width)} END AS blk, o, true AS home, {_rids(join)}{nulls} FROM l WHERE side = 1)"
+        )
+        home, now = "home", "o"
+        frame = f"RANGE BETWEEN {m - 1} PRECEDING AND CURRENT ROW"
+    distance, rel = f"((o - blk * {width}L) / {join.unit}D)", f"(({now} - blk * {width}L) / {join.unit}D)"
+    cols = [f"{states.rows_sql(k, distance)} OVER f AS {n}" for k, n in states.columns.items()]
+    arrays = list(dict.fromkeys(inputs[a.value_sql] for a in holistic))
+    cols += [f"collect_list({x}) OVER f AS a_{x}" for x in arrays]
+    cols += [f"mode({inputs[v]}, true) OVER f AS mode_{inputs[v]}" for v in dict.fromkeys(a.value_sql for a in holistic if a.func == "MODE")]
+    around = dict.fromkeys(a.value_sql for a in holistic if a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN"))
+    cols += [f"avg({inputs[v]}) OVER f AS m_{inputs[v]}" for v in around]
     ctes.append(
-        f"w AS (SELECT side, {_rids(join)}, {', '.join(cols)} FROM u WINDOW f AS (PARTITION BY {_keys(nkeys)}blk"
-        f" ORDER BY o RANGE BETWEEN {join.memory - 1} PRECEDING AND CURRENT ROW))"
+        f"w AS (SELECT {_rids(join)}, {now} AS now, {rel} AS rel, {home} AS home, {', '.join(cols)}\n"
+        f"  FROM u WINDOW f AS (PARTITION BY {_keys(nkeys)}blk ORDER BY o {frame}))"
     )
+    kept = [f"{states.rebase_sql(k, 'rel')} AS {n}" for k, n in states.columns.items()]
+    kept += [f"array_sort(a_{x}) AS a_{x}" for x in arrays]
+    kept += [f"mode_{inputs[v]}" for v in dict.fromkeys(a.value_sql for a in holistic if a.func == "MODE")]
+    kept += [f"m_{inputs[v]}" for v in around]
+    ctes.append(f"g AS (SELECT {_rids(join)}, now, {', '.join(kept)} FROM w WHERE home)")
     final = []
     for a in aggs:
+        if a.mergeable:
+            final.append(f"{states.final_sql(a, f'(now + {h}L)')} AS `{a.alias}`")
+            continue
         x = inputs[a.value_sql]
         func, param = ("QUANTILE", 0.5) if a.func == "MEDIAN" else (a.func, a.param)
         text = HOLISTIC[func].format(a=f"a_{x}", n=f"size(a_{x})", m=f"m_{x}", mode=f"mode_{x}", p=_num(param))
-        if a.func in COUNT_LIKE:
-            text = f"CAST({text} AS BIGINT)"
-        final.append(f"{text} AS `{a.alias}`")
+        final.append(f"CAST({text} AS BIGINT) AS `{a.alias}`" if a.func in COUNT_LIKE else f"{text} AS `{a.alias}`")
     ids = ", ".join(f"r{i} AS {c}" for i, c in enumerate(join.row_id))
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT {ids}, {', '.join(final)} FROM w WHERE side = 1"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT {ids}, {', '.join(final)} FROM g"
+
+
+def _wide(order: str, width: int) -> str:
+    return f"(({order}) - pmod({order}, {width}L)) div {width}L"
+
+
+@dataclass(frozen=True)
+class Profile:
+    """Sizes of the (key, memory block) groups: largest, and as met by an average row."""
+
+    largest: int
+    typical: float
+
+
+SMALL_WINDOW = Profile(2048, 96.0)
+WIDE_FACTOR = 8
+
+
+def profile(left: DataFrame, right: DataFrame, join: IntervalJoin) -> Profile:
+    """One partial aggregation over key and time; its result decides the form of the join."""
+    cols = [f"k{i}" for i in range(len(join.left_keys))] + ["blk"]
+    counts = _run(right.sparkSession, markers_sql(join), {"left_rows": left, "right_rows": right}).groupBy(*cols).count()
+    row = counts.agg(F.max("count"), F.sum(F.col("count").cast("double") * F.col("count")) / F.sum("count")).first()
+    return Profile(row[0] or 0, row[1] or 0.0)
+
+
+def is_small(p: Profile, join: IntervalJoin, aggs) -> bool:
+    """Sliding frames re-read their rows: good for short windows, with one shuffle instead of two."""
+    reach = (join.memory + abs(join.horizon)) * WIDE_FACTOR / join.unit
+    if any(a.func == "EWMA" and reach / a.param > 900 for a in aggs):
+        return False
+    return p.largest <= SMALL_WINDOW.largest and p.typical <= SMALL_WINDOW.typical
 
 
 def hot_cuts(left: DataFrame, right: DataFrame, join: IntervalJoin) -> DataFrame | None:
@@ -346,19 +416,27 @@ def first_seen(right: DataFrame, join: IntervalJoin, agg: Agg) -> DataFrame:
     return rows.groupBy(*[f"k{i}" for i in range(len(keys))], "v").agg(F.min("o").alias("o"))
 
 
-def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin) -> DataFrame:
-    """Row id and one column per aggregate; left rows without partner get NULL, counts 0."""
+def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, form: str | None = None) -> DataFrame:
+    """Row id and one column per aggregate; left rows without partner get NULL, counts 0.
+
+    `form` is "sliding" or "blocks"; by default the profile of the data decides.
+    """
     spark = left.sparkSession
     mergeable = [a for a in join.aggs if a.mergeable]
     holistic = [a for a in join.aggs if not a.mergeable]
+    both = {"left_rows": left, "right_rows": right}
+    self_join = _same_side(left, right, join)
+    if join.memory is not None and form is None:
+        small = is_small(profile(left, right, join), join, join.aggs)
+        form = "sliding" if small else "blocks"
+    if form == "sliding":
+        sql = sliding_sql(join, join.aggs, self_join, WIDE_FACTOR)
+        return _run(spark, sql, {"right_rows": right} if self_join else both)
     parts = []
     if mergeable:
         cuts = hot_cuts(left, right, join)
         sql = mergeable_sql(join, mergeable, cuts is not None)
-        args = {"left_rows": left, "right_rows": right}
-        if cuts is not None:
-            args["hot_cuts"] = cuts
-        parts.append(_run(spark, sql, args))
+        parts.append(_run(spark, sql, both if cuts is None else {**both, "hot_cuts": cuts}))
     if holistic and join.memory is None:
         distinct = [a for a in holistic if a.func == "COUNT_DISTINCT"]
         holistic = [a for a in holistic if a.func != "COUNT_DISTINCT"]
@@ -369,11 +447,17 @@ def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin) ->
             )
             parts.append(interval_aggregate(left, first_seen(right, join, agg), seen))
     if holistic:
-        parts.append(_run(spark, holistic_sql(join, holistic), {"left_rows": left, "right_rows": right}))
+        parts.append(_run(spark, sliding_sql(join, holistic, self_join), {"right_rows": right} if self_join else both))
     out = parts[0]
     for part in parts[1:]:
         out = out.join(part, [c.strip("`") for c in join.row_id], "inner")
-    return out
+    return out.select(*join.row_id, *[F.col(f"`{a.alias}`") for a in join.aggs])
+
+
+def _same_side(left: DataFrame, right: DataFrame, join: IntervalJoin) -> bool:
+    if join.left_keys != join.right_keys or join.left_order != join.right_order:
+        return False
+    return left is right or left.sameSemantics(right)
 
 
 _VIEWS = re.compile(r"\b(left_rows|right_rows|hot_cuts)\b")

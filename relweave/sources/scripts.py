@@ -106,7 +106,7 @@ class _Writer:
             if mergeable:
                 texts.append((interval.mergeable_sql(plan, mergeable, hot=False), mergeable))
             if holistic:
-                texts.append((interval.holistic_sql(plan, holistic), holistic))
+                texts.append((interval.sliding_sql(plan, holistic), holistic))
             for i, (sql, aggs) in enumerate(texts):
                 sql = re.sub(r"\bleft_rows\b", source, re.sub(r"\bright_rows\b", right, sql))
                 out.append((self.view(f"{prefix}__{i + 1}", sql), keys, aggs))
