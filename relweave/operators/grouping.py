@@ -7,6 +7,7 @@ GROUP BY too, so a hot key is spread over its values instead of one task.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window, WindowSpec
@@ -19,6 +20,7 @@ from ..session import plan_bytes
 from . import skew
 
 CHUNK = 200  # aggregate expressions per statement, keeps generated code compilable
+ONE_SPLIT = 128 * 2**20
 
 
 def grouped_sql(keys: list[str], aggs: list[Agg], order: str | None = None, unit: int = 1, source: str = "right_rows") -> str:
@@ -123,19 +125,51 @@ def _value_cuts(hist: DataFrame) -> list:
     return sorted(set(found or []))
 
 
+def histogram_sql(keys: list[str], aggs: list[Agg], source: str, dtype: str) -> str:
+    """All holistic aggregates over columns of one type, from one value histogram."""
+    cols = ", ".join(f"`{k}`" for k in keys)
+    group = f"{cols}, cid"
+    values = list(dict.fromkeys(a.value_sql for a in aggs))
+    stats: dict[str, str] = {}
+    wide = []
+    for a in aggs:
+        p = {"MEDIAN": 0.5, "QUANTILE": a.param}.get(a.func)
+        if p is not None:
+            pos = f"({p!r}D * (n - 1))"
+            low = f"max(CASE WHEN floor{pos} < hi AND floor{pos} >= hi - k THEN v END)"
+            up = f"max(CASE WHEN ceil{pos} < hi AND ceil{pos} >= hi - k THEN v END)"
+            text = f"{low} + (max{pos} - floor(max{pos})) * ({up} - {low})"
+        elif a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN"):
+            text = f"sum(CASE WHEN v {'>' if a.func == 'COUNT_ABOVE_MEAN' else '<'} mean THEN k ELSE 0 END)"
+        else:
+            text = HISTOGRAM[a.func]
+        stat = stats.setdefault(text, f"s{len(stats)}")
+        wide.append(f"max(CASE WHEN cid = {values.index(a.value_sql)} THEN {stat} END) AS `{a.alias}`")
+    needs_mean = any(a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN") for a in aggs)
+    mean = f", sum(v * k) OVER (PARTITION BY {group}) / sum(k) OVER (PARTITION BY {group}) AS mean" if needs_mean else ""
+    cells = ", ".join(f"struct({i} AS cid, CAST({v} AS {dtype}) AS v)" for i, v in enumerate(values))
+    hist = f"SELECT {group}, v, count(*) AS k FROM (SELECT {cols}, inline(array({cells})) FROM {source}) WHERE v IS NOT NULL GROUP BY {group}, v"
+    ranked = (
+        f"SELECT {group}, v, k, sum(k) OVER (PARTITION BY {group} ORDER BY v) AS hi,\n"
+        f"  sum(k) OVER (PARTITION BY {group}) AS n{mean}\n  FROM ({hist})"
+    )
+    per_column = f"SELECT {group}, {', '.join(f'{t} AS {n}' for t, n in stats.items())}\n  FROM ({ranked}) GROUP BY {group}"
+    return f"SELECT {cols}, {', '.join(wide)}\n  FROM ({per_column}) GROUP BY {cols}"
+
+
 def group_aggregate(df: DataFrame, keys: list[str], aggs: list[Agg], time: str | None = None) -> DataFrame:
     """One row per key, one column per aggregate; at most a handful of passes over `df`."""
-    spark = df.sparkSession
     order = order_sql(df, time) if time else None
     unit = ticks_per_unit(df, time) if time else 1
     parts = []
     mergeable = [a for a in aggs if a.mergeable]
     holistic = [a for a in aggs if not a.mergeable]
+    if keys and plan_bytes(df) <= ONE_SPLIT:
+        # possibly a single row group, read by one task: spread the rows, which also serves every grouping below
+        used = _used_columns(df, [*[f"`{k}`" for k in keys], *[a.value_sql for a in aggs], *([order] if order else [])])
+        df = df.select(*used).repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
     for start in range(0, len(mergeable), CHUNK):
-        chunk = mergeable[start : start + CHUNK]
-        text = grouped_sql(keys, chunk, order, unit, "__rows__")
-        text = text.replace("{", "{{").replace("}", "}}").replace("__rows__", "{rows}")
-        parts.append(spark.sql(text, rows=df))
+        parts.append(_run(df, grouped_sql(keys, mergeable[start : start + CHUNK], order, unit, "__rows__")))
     if holistic:
         if not mergeable:
             parts.append(df.select(*keys).dropna().distinct())
@@ -151,7 +185,20 @@ def group_aggregate(df: DataFrame, keys: list[str], aggs: list[Agg], time: str |
     return out.fillna(0, subset=counts).select(*keys, *[F.col(f"`{a.alias}`") for a in aggs])
 
 
+def _run(df: DataFrame, text: str) -> DataFrame:
+    text = text.replace("{", "{{").replace("}", "}}").replace("__rows__", "{rows}")
+    return df.sparkSession.sql(text, rows=df)
+
+
+def _used_columns(df: DataFrame, texts: list[str]) -> list[str]:
+    """Columns that occur in SQL texts, quoted or as bare words."""
+    words = {w for t in texts for w in re.findall(r"`([^`]+)`|(\w+)", t) for w in w if w}
+    return [f"`{c}`" for c in df.columns if c in words]
+
+
 def _holistic(df: DataFrame, keys: list[str], aggs: list[Agg], dtype: str) -> DataFrame:
+    if plan_bytes(df) <= skew.hot_rows(df.sparkSession):
+        return _run(df, histogram_sql(keys, aggs, "__rows__", dtype))  # no group can be hot
     values = list(dict.fromkeys(a.value_sql for a in aggs))
     hist = value_histogram(df, keys, [f"CAST({v} AS {dtype})" for v in values])
     group = [*keys, "cid"]

@@ -70,11 +70,6 @@ def _inputs(join: IntervalJoin, aggs) -> dict[str, str]:
     return out
 
 
-def _cast(agg: Agg, value: str) -> str:
-    numeric = agg.func in MERGEABLE and MERGEABLE[agg.func].numeric
-    return f"CAST({value} AS DOUBLE)" if numeric or agg.func == "QUANTILE" else value
-
-
 def _source_ctes(join: IntervalJoin, inputs: dict[str, str], numeric: set[str]) -> str:
     keys_r = "".join(f"{k} AS k{i}, " for i, k in enumerate(join.right_keys))
     keys_l = "".join(f"{k} AS k{i}, " for i, k in enumerate(join.left_keys))

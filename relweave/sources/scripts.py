@@ -9,45 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.aggregates import COUNT_LIKE, HISTOGRAM, Agg
+from ..functions.aggregates import COUNT_LIKE
 from ..operators import grouping, interval
 from ..plans.features import Propositionalizer, Relation, feature_names
 from ..plans.model import DataModel, Join, Placeholder, View
 from .files import list_files, read_text, write_text
 
 
-def _histogram_sql(keys: list[str], aggs: list[Agg], source: str, dtype: str) -> str:
-    """All holistic aggregates over columns of one type, from one value histogram."""
-    cols = ", ".join(f"`{k}`" for k in keys)
-    group = f"{cols}, cid"
-    values = list(dict.fromkeys(a.value_sql for a in aggs))
-    stats: dict[str, str] = {}
-    wide = []
-    for a in aggs:
-        p = {"MEDIAN": 0.5, "QUANTILE": a.param}.get(a.func)
-        if p is not None:
-            pos = f"({p!r}D * (n - 1))"
-            low = f"max(CASE WHEN floor{pos} < hi AND floor{pos} >= hi - k THEN v END)"
-            up = f"max(CASE WHEN ceil{pos} < hi AND ceil{pos} >= hi - k THEN v END)"
-            text = f"{low} + (max{pos} - floor(max{pos})) * ({up} - {low})"
-        elif a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN"):
-            text = f"sum(CASE WHEN v {'>' if a.func == 'COUNT_ABOVE_MEAN' else '<'} mean THEN k ELSE 0 END)"
-        else:
-            text = HISTOGRAM[a.func]
-        stat = stats.setdefault(text, f"s{len(stats)}")
-        wide.append(f"max(CASE WHEN cid = {values.index(a.value_sql)} THEN {stat} END) AS `{a.alias}`")
-    needs_mean = any(a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN") for a in aggs)
-    mean = f", sum(v * k) OVER (PARTITION BY {group}) / sum(k) OVER (PARTITION BY {group}) AS mean" if needs_mean else ""
-    cells = ", ".join(f"struct({i} AS cid, CAST({v} AS {dtype}) AS v)" for i, v in enumerate(values))
-    hist = f"SELECT {group}, v, count(*) AS k FROM (SELECT {cols}, inline(array({cells})) FROM {source}) WHERE v IS NOT NULL GROUP BY {group}, v"
-    ranked = (
-        f"SELECT {group}, v, k, sum(k) OVER (PARTITION BY {group} ORDER BY v) AS hi,\n"
-        f"  sum(k) OVER (PARTITION BY {group}) AS n{mean}\n  FROM ({hist})"
-    )
-    per_column = f"SELECT {group}, {', '.join(f'{t} AS {n}' for t, n in stats.items())}\n  FROM ({ranked}) GROUP BY {group}"
-    return f"SELECT {cols}, {', '.join(wide)}\n  FROM ({per_column}) GROUP BY {cols}"
-
-
 class _Writer:
     def __init__(self, spec: Propositionalizer, tables: dict[str, DataFrame]):
         self.spec, self.tables = spec, tables
@@ -121,7 +89,7 @@ class _Writer:
             for tag, dtype in (("n", "DOUBLE"), ("s", "STRING")):
                 aggs = [a for a, f in zip(holistic, types) if isinstance(f.dataType, T.NumericType) == (dtype == "DOUBLE")]
                 if aggs:
-                    view = self.view(f"{prefix}__{tag}", _histogram_sql(rkeys, aggs, right, dtype))
+                    view = self.view(f"{prefix}__{tag}", grouping.histogram_sql(rkeys, aggs, right, dtype))
                     out.append((view, list(relation.join.on), aggs))
         return out
 
