@@ -139,20 +139,22 @@ HOLISTIC = {
     ),
 }
 
-# Forms over the histogram (v, k) of a group: distinct value and its count.
+# Forms over the histogram (__v, __k) of a group: distinct value and its count.
 HISTOGRAM = {
-    "COUNT_DISTINCT": "count(v)",
-    "COUNT_MINUS_DISTINCT": "sum(k) - count(v)",
-    "PERCENT_UNIQUE": "count(v) / sum(k)",
-    "MODE": "min(struct(-k AS k, v AS v)).v",
-    "NUM_MAX": "max(struct(v AS v, k AS k)).k",
-    "NUM_MIN": "min(struct(v AS v, k AS k)).k",
-    "ENTROPY": "greatest(ln(sum(k)) - sum(k * ln(k)) / sum(k), 0D)",
+    "COUNT_DISTINCT": "count(__v)",
+    "COUNT_MINUS_DISTINCT": "sum(__k) - count(__v)",
+    "PERCENT_UNIQUE": "count(__v) / sum(__k)",
+    "MODE": "min(struct(-__k AS k, __v AS v)).v",
+    "NUM_MAX": "max(struct(__v AS v, __k AS k)).k",
+    "NUM_MIN": "min(struct(__v AS v, __k AS k)).k",
+    "ENTROPY": "greatest(ln(sum(__k)) - sum(__k * ln(__k)) / sum(__k), 0D)",
     "COUNT_ABOVE_MEAN": None,
     "COUNT_BELOW_MEAN": None,
     "MEDIAN": None,
     "QUANTILE": None,
 }
+# Built-ins that lose fewer digits than power sums; used wherever the values themselves are at hand.
+STABLE = ("SKEW", "KURTOSIS")
 COUNT_LIKE = {"COUNT", "COUNT_DISTINCT", "COUNT_MINUS_DISTINCT", "NUM_MAX", "NUM_MIN", "COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN"}
 
 # The three named sets of aggregates for numeric columns.

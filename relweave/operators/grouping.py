@@ -35,19 +35,19 @@ def grouped_sql(keys: list[str], aggs: list[Agg], order: str | None = None, unit
         if spec.needs_time and order is None:
             raise ValueError(f"{agg.func} needs a time stamp on the right side")
         value = f"CAST({agg.value_sql} AS DOUBLE)" if spec.numeric else agg.value_sql
-        x = values.setdefault(value, f"x{len(values)}")
+        x = values.setdefault(value, f"__x{len(values)}")
         if spec.grouped:
-            name = states.setdefault((spec.grouped.format(x=x),), f"s{len(states)}")
+            name = states.setdefault((spec.grouped.format(x=x),), f"__s{len(states)}")
             finals.append(f"{name} AS `{agg.alias}`")
             continue
         names = {}
         for state in spec.states:
-            rows = STATES[state][0].format(x=x, t="o", c="0D", d="0D", p="1D")
-            names[state] = states.setdefault((rows,), f"s{len(states)}")
+            rows = STATES[state][0].format(x=x, t="__o", c="0D", d="0D", p="1D")
+            names[state] = states.setdefault((rows,), f"__s{len(states)}")
         finals.append(f"{spec.final.format(c='0D', u=f'{unit}D', now='NULL', **names)} AS `{agg.alias}`")
     cols = ", ".join(f"`{k}`" for k in keys)
     xs = "".join(f", {v} AS {x}" for v, x in values.items())
-    o = f", {order} AS o" if order else ""
+    o = f", {order} AS __o" if order else ""
     lead = f"{cols}, " if keys else ""
     present = " AND ".join(f"`{k}` IS NOT NULL" for k in keys) or "TRUE"
     group = f" GROUP BY {cols}" if keys else ""
@@ -56,13 +56,13 @@ def grouped_sql(keys: list[str], aggs: list[Agg], order: str | None = None, unit
 
 
 def value_histogram(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """(keys, cid, v, k): each distinct non-null value of column number cid and its count.
+    """(keys, __cid, __v, __k): each distinct non-null value of column number cid and its count.
 
     All columns are counted in one pass over the rows.
     """
-    cells = [F.struct(F.lit(i).alias("cid"), F.expr(v).alias("v")) for i, v in enumerate(values)]
-    long = df.select(*keys, F.inline(F.array(*cells))).dropna(subset=[*keys, "v"])
-    return long.groupBy(*keys, "cid", "v").agg(F.count(F.lit(1)).alias("k"))
+    cells = [F.struct(F.lit(i).alias("__cid"), F.expr(v).alias("__v")) for i, v in enumerate(values)]
+    long = df.select(*keys, F.inline(F.array(*cells))).dropna(subset=[*keys, "__v"])
+    return long.groupBy(*keys, "__cid", "__v").agg(F.count(F.lit(1)).alias("__k"))
 
 
 def group_quantiles(hist: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
@@ -77,35 +77,35 @@ def group_quantiles(hist: DataFrame, keys: list[str], shares: dict[str, float])
         w = _window(keys)
         ranked = hist.select(
             *keys,
-            "v",
-            "k",
-            F.sum("k").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)).alias("hi"),
-            F.sum("k").over(w).alias("n"),
+            "__v",
+            "__k",
+            F.sum("__k").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)).alias("__hi"),
+            F.sum("__k").over(w).alias("__n"),
         )
     else:
-        piece = F.array_size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("v")))
+        piece = F.array_size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("__v")))
         rows = hist.withColumn("__p", piece)
         wp = _window(keys)
-        totals = rows.groupBy(*keys, "__p").agg(F.sum("k").alias("__t"))
+        totals = rows.groupBy(*keys, "__p").agg(F.sum("__k").alias("__t"))
         totals = totals.select(
             *keys,
             "__p",
             (F.sum("__t").over(wp.orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__t")).alias("__before"),
-            F.sum("__t").over(wp).alias("n"),
+            F.sum("__t").over(wp).alias("__n"),
         )
         w = _window([*keys, "__p"])
-        running = rows.withColumn("hi", F.sum("k").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-        ranked = running.join(totals, [*keys, "__p"]).withColumn("hi", F.col("hi") + F.col("__before"))
+        running = rows.withColumn("__hi", F.sum("__k").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)))
+        ranked = running.join(totals, [*keys, "__p"]).withColumn("__hi", F.col("__hi") + F.col("__before"))
     exprs = []
     for name, p in shares.items():
-        pos = F.lit(float(p)) * (F.col("n") - 1)
+        pos = F.lit(float(p)) * (F.col("__n") - 1)
         for edge, rank in (("lo", F.floor(pos)), ("up", F.ceil(pos))):
-            hit = (rank < F.col("hi")) & (rank >= F.col("hi") - F.col("k"))
-            exprs.append(F.max(F.when(hit, F.col("v").cast("double"))).alias(f"{name}__{edge}"))
-    found = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *exprs)
+            hit = (rank < F.col("__hi")) & (rank >= F.col("__hi") - F.col("__k"))
+            exprs.append(F.max(F.when(hit, F.col("__v").cast("double"))).alias(f"{name}__{edge}"))
+    found = ranked.groupBy(*keys).agg(F.max("__n").alias("__n"), *exprs)
     out = []
     for name, p in shares.items():
-        pos = F.lit(float(p)) * (F.col("n") - 1)
+        pos = F.lit(float(p)) * (F.col("__n") - 1)
         low, up = F.col(f"{name}__lo"), F.col(f"{name}__up")
         out.append((low + (pos - F.floor(pos)) * (up - low)).alias(name))
     return found.select(*keys, *out)
@@ -121,37 +121,41 @@ def _value_cuts(hist: DataFrame) -> list:
         return []
     n = min(skew.MAX_SEGMENTS, -(-size // limit))
     grid = [i / n for i in range(1, n)]
-    found = hist.agg(F.percentile_approx("v", grid, 20000)).first()[0]
+    found = hist.agg(F.percentile_approx("__v", grid, 20000)).first()[0]
     return sorted(set(found or []))
 
 
 def histogram_sql(keys: list[str], aggs: list[Agg], source: str, dtype: str) -> str:
     """All holistic aggregates over columns of one type, from one value histogram."""
     cols = ", ".join(f"`{k}`" for k in keys)
-    group = f"{cols}, cid"
+    group = f"{cols}, __cid"
     values = list(dict.fromkeys(a.value_sql for a in aggs))
     stats: dict[str, str] = {}
     wide = []
     for a in aggs:
-        p = {"MEDIAN": 0.5, "QUANTILE": a.param}.get(a.func)
+        p = _share(a)
         if p is not None:
-            pos = f"({p!r}D * (n - 1))"
-            low = f"max(CASE WHEN floor{pos} < hi AND floor{pos} >= hi - k THEN v END)"
-            up = f"max(CASE WHEN ceil{pos} < hi AND ceil{pos} >= hi - k THEN v END)"
+            pos = f"({p!r}D * (__n - 1))"
+            low = f"max(CASE WHEN floor{pos} < __hi AND floor{pos} >= __hi - __k THEN __v END)"
+            up = f"max(CASE WHEN ceil{pos} < __hi AND ceil{pos} >= __hi - __k THEN __v END)"
             text = f"{low} + (max{pos} - floor(max{pos})) * ({up} - {low})"
         elif a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN"):
-            text = f"sum(CASE WHEN v {'>' if a.func == 'COUNT_ABOVE_MEAN' else '<'} mean THEN k ELSE 0 END)"
+            text = f"sum(CASE WHEN __v {'>' if a.func == 'COUNT_ABOVE_MEAN' else '<'} __mean THEN __k ELSE 0 END)"
         else:
             text = HISTOGRAM[a.func]
-        stat = stats.setdefault(text, f"s{len(stats)}")
-        wide.append(f"max(CASE WHEN cid = {values.index(a.value_sql)} THEN {stat} END) AS `{a.alias}`")
+        stat = stats.setdefault(text, f"__s{len(stats)}")
+        wide.append(f"max(CASE WHEN __cid = {values.index(a.value_sql)} THEN {stat} END) AS `{a.alias}`")
     needs_mean = any(a.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN") for a in aggs)
-    mean = f", sum(v * k) OVER (PARTITION BY {group}) / sum(k) OVER (PARTITION BY {group}) AS mean" if needs_mean else ""
-    cells = ", ".join(f"struct({i} AS cid, CAST({v} AS {dtype}) AS v)" for i, v in enumerate(values))
-    hist = f"SELECT {group}, v, count(*) AS k FROM (SELECT {cols}, inline(array({cells})) FROM {source}) WHERE v IS NOT NULL GROUP BY {group}, v"
+    whole = f"OVER (PARTITION BY {group})"
+    mean = f", sum(__v * __k) {whole} / sum(__k) {whole} AS __mean" if needs_mean else ""
+    cells = ", ".join(f"struct({i} AS __cid, CAST({v} AS {dtype}) AS __v)" for i, v in enumerate(values))
+    hist = (
+        f"SELECT {group}, __v, count(*) AS __k FROM (SELECT {cols}, inline(array({cells})) FROM {source})"
+        f" WHERE __v IS NOT NULL GROUP BY {group}, __v"
+    )
     ranked = (
-        f"SELECT {group}, v, k, sum(k) OVER (PARTITION BY {group} ORDER BY v) AS hi,\n"
-        f"  sum(k) OVER (PARTITION BY {group}) AS n{mean}\n  FROM ({hist})"
+        f"SELECT {group}, __v, __k, sum(__k) OVER (PARTITION BY {group} ORDER BY __v) AS __hi,\n"
+        f"  sum(__k) {whole} AS __n{mean}\n  FROM ({hist})"
     )
     per_column = f"SELECT {group}, {', '.join(f'{t} AS {n}' for t, n in stats.items())}\n  FROM ({ranked}) GROUP BY {group}"
     return f"SELECT {cols}, {', '.join(wide)}\n  FROM ({per_column}) GROUP BY {cols}"
@@ -201,7 +205,7 @@ def _holistic(df: DataFrame, keys: list[str], aggs: list[Agg], dtype: str) -> Da
         return _run(df, histogram_sql(keys, aggs, "__rows__", dtype))  # no group can be hot
     values = list(dict.fromkeys(a.value_sql for a in aggs))
     hist = value_histogram(df, keys, [f"CAST({v} AS {dtype})" for v in values])
-    group = [*keys, "cid"]
+    group = [*keys, "__cid"]
     direct = sorted({a.func for a in aggs if HISTOGRAM[a.func]})
     parts = [hist.groupBy(*group).agg(*[F.expr(HISTOGRAM[f]).alias(f) for f in direct])] if direct else []
     shares = {_share_name(a): _share(a) for a in aggs if _share(a) is not None}
@@ -209,17 +213,17 @@ def _holistic(df: DataFrame, keys: list[str], aggs: list[Agg], dtype: str) -> Da
         parts.append(group_quantiles(hist, group, shares))
     around = sorted({a.func for a in aggs} & {"COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN"})
     if around:
-        means = hist.groupBy(*group).agg((F.sum(F.col("v") * F.col("k")) / F.sum("k")).alias("__mean"))
+        means = hist.groupBy(*group).agg((F.sum(F.col("__v") * F.col("__k")) / F.sum("__k")).alias("__mean"))
         exprs = []
         for func in around:
-            side = F.col("v") > F.col("__mean") if func == "COUNT_ABOVE_MEAN" else F.col("v") < F.col("__mean")
-            exprs.append(F.sum(F.when(side, F.col("k")).otherwise(0)).alias(func))
+            side = F.col("__v") > F.col("__mean") if func == "COUNT_ABOVE_MEAN" else F.col("__v") < F.col("__mean")
+            exprs.append(F.sum(F.when(side, F.col("__k")).otherwise(0)).alias(func))
         parts.append(skew.skew_join(hist, means, group, "inner").groupBy(*group).agg(*exprs))
     stats = reduce(lambda a, b: a.join(b, group, "left"), parts)
     wide = []
     for a in aggs:
         stat = a.func if _share(a) is None else _share_name(a)
-        wide.append(F.max(F.when(F.col("cid") == values.index(a.value_sql), F.col(stat))).alias(a.alias))
+        wide.append(F.max(F.when(F.col("__cid") == values.index(a.value_sql), F.col(stat))).alias(a.alias))
     return stats.groupBy(*keys).agg(*wide)
 
 

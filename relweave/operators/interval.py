@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import COUNT_LIKE, HOLISTIC, MERGEABLE, REBASE, REBASE_NEEDS, STATES, Agg
+from ..functions.aggregates import COUNT_LIKE, HOLISTIC, MERGEABLE, REBASE, REBASE_NEEDS, STABLE, STATES, Agg
 from ..functions.timecols import order_sql, ticks_per_unit
 from . import skew
 
@@ -298,7 +298,8 @@ def sliding_sql(join: IntervalJoin, aggs, self_join: bool = False, factor: int =
         bad = ", ".join(a.func for a in aggs)
         raise NotDecomposable(f"{bad}: an exact value over an unbounded window needs a memory")
     nkeys = len(join.left_keys)
-    mergeable, holistic = [a for a in aggs if a.mergeable], [a for a in aggs if not a.mergeable]
+    stable = [a for a in aggs if a.func in STABLE]
+    mergeable, holistic = [a for a in aggs if a.mergeable and a not in stable], [a for a in aggs if not a.mergeable]
     inputs = _inputs(join, aggs)
     states = _States(join, mergeable, inputs)
     h, m = join.horizon, join.memory
@@ -336,6 +337,7 @@ def sliding_sql(join: IntervalJoin, aggs, self_join: bool = False, factor: int =
         frame = f"RANGE BETWEEN {m - 1} PRECEDING AND CURRENT ROW"
     distance, rel = f"((o - blk * {width}L) / {join.unit}D)", f"(({now} - blk * {width}L) / {join.unit}D)"
     cols = [f"{states.rows_sql(k, distance)} OVER f AS {n}" for k, n in states.columns.items()]
+    cols += [f"{MERGEABLE[a.func].grouped.format(x=inputs[a.value_sql])} OVER f AS d{i}" for i, a in enumerate(stable)]
     arrays = list(dict.fromkeys(inputs[a.value_sql] for a in holistic))
     cols += [f"collect_list({x}) OVER f AS a_{x}" for x in arrays]
     cols += [f"mode({inputs[v]}, true) OVER f AS mode_{inputs[v]}" for v in dict.fromkeys(a.value_sql for a in holistic if a.func == "MODE")]
@@ -346,12 +348,16 @@ def sliding_sql(join: IntervalJoin, aggs, self_join: bool = False, factor: int =
         f"  FROM u WINDOW f AS (PARTITION BY {_keys(nkeys)}blk ORDER BY o {frame}))"
     )
     kept = [f"{states.rebase_sql(k, 'rel')} AS {n}" for k, n in states.columns.items()]
+    kept += [f"d{i}" for i in range(len(stable))]
     kept += [f"array_sort(a_{x}) AS a_{x}" for x in arrays]
     kept += [f"mode_{inputs[v]}" for v in dict.fromkeys(a.value_sql for a in holistic if a.func == "MODE")]
     kept += [f"m_{inputs[v]}" for v in around]
     ctes.append(f"g AS (SELECT {_rids(join)}, now, {', '.join(kept)} FROM w WHERE home)")
     final = []
     for a in aggs:
+        if a in stable:
+            final.append(f"d{stable.index(a)} AS `{a.alias}`")
+            continue
         if a.mergeable:
             final.append(f"{states.final_sql(a, f'(now + {h}L)')} AS `{a.alias}`")
             continue
