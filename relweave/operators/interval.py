@@ -14,7 +14,8 @@ block that is still too large is cut into segments whose totals are carried over
 
 Quantiles, modes and distinct counts do not merge. For them left rows and right rows
 meet in (key, block) partitions, where right rows also visit the next block, and a
-sliding frame gathers the values. When the data show that windows are short, the
+sliding frame gathers the values; if a column has few distinct values, their counts
+merge and replace the frame. When the data show that windows are short, the
 sliding frame serves all aggregates, as it needs one shuffle only.
 
 The statements are plain Spark SQL, so the same text can be saved as a script.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..functions.aggregates import COUNT_LIKE, HOLISTIC, MERGEABLE, REBASE, REBASE_NEEDS, STABLE, STATES, Agg
 from ..functions.timecols import order_sql, ticks_per_unit
-from . import skew
+from . import skew, value_counts
 
 
 class NotDecomposable(ValueError):
@@ -427,17 +428,38 @@ def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, fo
     holistic = [a for a in join.aggs if not a.mergeable]
     both = {"left_rows": left, "right_rows": right}
     self_join = _same_side(left, right, join)
+    largest = None
     if join.memory is not None and form is None:
-        small = is_small(profile(left, right, join), join, join.aggs)
-        form = "sliding" if small else "blocks"
+        found = profile(left, right, join)
+        largest = found.largest
+        form = "sliding" if is_small(found, join, join.aggs) else "blocks"
     if form == "sliding":
         sql = sliding_sql(join, join.aggs, self_join, WIDE_FACTOR)
         return _run(spark, sql, {"right_rows": right} if self_join else both)
+    # holistic aggregates of columns with few values become counts, which merge
+    known: dict[str, tuple[list, list[Agg]]] = {}
+    for value in dict.fromkeys(a.value_sql for a in holistic):
+        values = value_counts.few_values(right, value)
+        if values is not None:
+            known[value] = (values, value_counts.count_aggs(value, values, f"v{len(known)}"))
+    counted = [a for a in holistic if a.value_sql in known]
+    holistic = [a for a in holistic if a.value_sql not in known]
+    running = [*mergeable, *[c for _, aggs in known.values() for c in aggs]]
     parts = []
-    if mergeable:
-        cuts = hot_cuts(left, right, join)
-        sql = mergeable_sql(join, mergeable, cuts is not None)
-        parts.append(_run(spark, sql, both if cuts is None else {**both, "hot_cuts": cuts}))
+    if running:
+        fits = largest is not None and largest <= skew.hot_rows(spark)
+        cuts = None if fits else hot_cuts(left, right, join)
+        sql = mergeable_sql(join, running, cuts is not None)
+        part = _run(spark, sql, both if cuts is None else {**both, "hot_cuts": cuts})
+        derived = []
+        for a in counted:
+            values, aggs = known[a.value_sql]
+            derived.append(value_counts.final(a, values, [F.col(c.alias) for c in aggs]).alias(a.alias))
+        ids = [F.col(c) for c in join.row_id]
+        parts.append(part.select(*ids, *[F.col(f"`{a.alias}`") for a in mergeable], *derived))
+    elif counted:  # no value at all on the right side
+        derived = [value_counts.final(a, [], []).alias(a.alias) for a in counted]
+        parts.append(left.select(*[F.col(c) for c in join.row_id], *derived))
     if holistic and join.memory is None:
         distinct = [a for a in holistic if a.func == "COUNT_DISTINCT"]
         holistic = [a for a in holistic if a.func != "COUNT_DISTINCT"]

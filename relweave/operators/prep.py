@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timecols import is_time
+from ..session import plan_bytes
 from . import roles as R
 from . import skew
+from .grouping import ONE_SPLIT
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
@@ -118,7 +120,10 @@ class TextFieldSplitter:
     def transform(self, df: DataFrame) -> dict[str, DataFrame]:
         out = {}
         for c in self.columns:
-            table = df.select(*self.row_id, F.explode(words(c)).alias("word"))
+            rows = df.select(*self.row_id, c)
+            if plan_bytes(df) <= ONE_SPLIT:  # possibly one row group: splitting text is worth spreading
+                rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism, *self.row_id)
+            table = rows.select(*self.row_id, F.explode(words(c)).alias("word"))
             for k in self.row_id:
                 table = table.withMetadata(k, {"role": R.JOIN_KEY})
             out[c] = table.withMetadata("word", {"role": R.CATEGORICAL})

@@ -167,7 +167,7 @@ class Propositionalizer:
             if spec and (spec.needs_time or spec.needs_now) and not timed:
                 continue
             if not spec and timed and not bounded and func != "COUNT_DISTINCT":
-                continue  # no exact unbounded form
+                continue  # exact without a memory only for few distinct values
             out.append(Agg(func, f"`{column}`", condition, f"{func.lower()}__{column}{tag}"))
         if timed:
             out += [Agg("EWMA", f"`{column}`", condition, f"ewma_{h:g}__{column}{tag}", h) for h in self.half_lives]

@@ -32,27 +32,52 @@ def views(orders, tables):
     return {s: View(orders.where(split == s), tables) for s in ("train", "validation", "test")} | {"full": View(orders, tables)}
 
 
-@query("f4_condition_search")
+PLANTED = """SELECT o_orderkey, {value} AS feature FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey"""
+PLANTED_SUM = "coalesce(sum(CASE WHEN l_discount > 0.05 THEN l_quantity END), 0)"
+
+
+@query("f4_condition_search", PLANTED.format(value=PLANTED_SUM))
 def _(spark, d):
+    # the search has to find the planted aggregate and condition among all candidates
     dm, orders, tables = order_model(spark, d)
     v = views(orders, tables)
     learner = learners.ConditionSearch(num_features=3, aggregation=("SUM", "COUNT"), n_thresholds=9).fit(dm, v["train"], "y")
-    return learner.transform(dm, v["full"])
+    return learner.transform(dm, v["full"]).select("o_orderkey", F.col(learner.features()[0].name).alias("feature"))
+
+
+@query(
+    "f5_weighted_aggregates",
+    PLANTED.format(
+        value="round(2 * count(CASE WHEN l_discount > 0.05 THEN 1 END) + 0.5::DOUBLE * count(CASE WHEN l_discount <= 0.05 THEN 1 END), 3) + 0.0::DOUBLE"
+    ),
+)
+def _(spark, d):
+    # two planted weights: 2 for heavily discounted lines, 0.5 for the others
+    dm, orders, tables = order_model(spark, d)
+    heavy = F.count(F.when(F.col("l_discount") > 0.05, 1))
+    planted = tables["lineitem"].groupBy("l_orderkey").agg((2 * heavy + 0.5 * (F.count(F.lit(1)) - heavy)).alias("w"))
+    rows = orders.drop("y").join(planted, orders.o_orderkey == planted.l_orderkey, "left").drop("l_orderkey")
+    rows = R.set_role(rows.withColumn("y", F.coalesce("w", F.lit(0.0))).drop("w"), "y", R.TARGET)
+    v = views(rows, tables)
+    learner = learners.BoostedAggregates(num_features=1, min_num_samples=100, n_thresholds=9).fit(dm, v["train"], "y")
+    return learner.transform(dm, v["full"]).select("o_orderkey", (F.round(learner.features()[0].name, 3) + 0.0).alias("feature"))
 
 
-@query("f5_weighted_aggregates")
+@query("f5_boosted_trees")
 def _(spark, d):
     dm, orders, tables = order_model(spark, d)
     v = views(orders, tables)
-    learner = learners.BoostedAggregates(num_features=3, max_depth=2, min_num_samples=100).fit(dm, v["train"], "y")
+    learner = learners.BoostedAggregates(num_features=2, max_depth=2, min_num_samples=20).fit(dm, v["train"], "y")
     return learner.transform(dm, v["full"])
 
 
-@query("f6_linear_aggregates")
+@query("f6_linear_aggregates", PLANTED.format(value=f"round({PLANTED_SUM}, 3) + 0.0::DOUBLE"))
 def _(spark, d):
+    # the weights of the learnt linear function must be those of the planted sum
     dm, orders, tables = order_model(spark, d)
     v = views(orders, tables)
-    return learners.BoostedAggregates(num_features=2, linear=True, n_thresholds=9).fit(dm, v["train"], "y").transform(dm, v["full"])
+    learner = learners.BoostedAggregates(num_features=1, linear=True, n_thresholds=9).fit(dm, v["train"], "y")
+    return learner.transform(dm, v["full"]).select("o_orderkey", (F.round(learner.features()[0].name, 3) + 0.0).alias("feature"))
 
 
 @query("f7_cross_entropy")

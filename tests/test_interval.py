@@ -177,9 +177,18 @@ def test_holistic(spark, form):
         assert close(out[i]["ENTROPY"], -sum(q * math.log(q) for q in p) + 0.0)
 
 
-def test_unbounded_holistic_is_refused_but_distinct_counts(spark):
+def test_unbounded_holistic_needs_few_values(spark):
     rows = sample(8)
     df = frame(spark, rows)
+    out = run(df, df, [Agg("MEDIAN", "x", name="m"), Agg("MODE", "c", name="mo")])
+    for i, seen in brute(rows, rows, 0, None).items():
+        vals = sorted(x for _, x, _ in seen if x is not None)
+        half = len(vals) // 2
+        assert close(out[i]["m"], None if not vals else vals[half] if len(vals) % 2 else (vals[half - 1] + vals[half]) / 2)
+        cats = [c for _, _, c in seen if c is not None]
+        assert out[i]["mo"] == (min(set(cats), key=lambda c: (-cats.count(c), c)) if cats else None)
+    rows = [(i, k, t, None if x is None else x + i / 1000, f"c{i}") for i, k, t, x, _ in rows]
+    df = frame(spark, rows)
     with pytest.raises(interval.NotDecomposable):
         run(df, df, [Agg("MEDIAN", "x", name="m")])
     out = run(df, df, [Agg("COUNT_DISTINCT", "c", name="d"), Agg("COUNT", name="n")])

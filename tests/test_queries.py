@@ -6,7 +6,7 @@ from check import TABLES, rows_of
 
 from relweave.queries import ORACLES, QUERIES
 
-SLOW = {"e5_sweep", "e4_tuning", "f11_stat_builder", "f10_series_builder", "f1_all_aggregates_windowed", "f5_weighted_aggregates"}
+SLOW = {"e5_sweep", "e4_tuning", "f11_stat_builder", "f10_series_builder", "f1_all_aggregates_windowed", "f5_boosted_trees"}
 
 
 @pytest.fixture(scope="module")
