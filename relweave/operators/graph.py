@@ -58,7 +58,7 @@ def graph_stats(nodes: DataFrame, edges: DataFrame, node: str, src: str, dst: st
     return row.select(
         "nodes",
         "edges",
-        (F.col("edges") / F.col("nodes")).alias("mean_degree"),
+        F.try_divide(F.col("edges"), F.col("nodes")).alias("mean_degree"),
         "isolated_nodes",
         "self_loops",
         (F.col("one_way") == 0).cast("int").alias("undirected"),

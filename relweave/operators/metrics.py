@@ -63,7 +63,7 @@ def auc(df: DataFrame, y: str, p: str) -> DataFrame:
     neg_below = (F.col("cum_n") - F.col("n")) - (F.col("cum_pos") - F.col("pos"))
     won = F.sum(F.col("pos") * (neg_below + (F.col("n") - F.col("pos")) / 2))
     pairs = F.max("all_pos") * (F.max("all_n") - F.max("all_pos"))
-    return c.agg((won / pairs).alias("auc"))
+    return c.agg(F.try_divide(won, pairs).alias("auc"))
 
 
 def classification_scores(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -75,13 +75,13 @@ def classification_scores(df: DataFrame, y: str, p: str) -> DataFrame:
 def roc_curve(df: DataFrame, y: str, p: str) -> DataFrame:
     c = cumulate(by_score(df, y, p), "score", ["n", "pos"])
     neg, all_neg = F.col("cum_n") - F.col("cum_pos"), F.col("all_n") - F.col("all_pos")
-    return c.select("score", (neg / all_neg).alias("fpr"), (F.col("cum_pos") / F.col("all_pos")).alias("tpr"))
+    return c.select("score", F.try_divide(neg, all_neg).alias("fpr"), F.try_divide(F.col("cum_pos"), F.col("all_pos")).alias("tpr"))
 
 
 def precision_recall_curve(df: DataFrame, y: str, p: str) -> DataFrame:
     c = cumulate(by_score(df, y, p), "score", ["n", "pos"])
     return c.select(
-        "score", (F.col("cum_pos") / F.col("cum_n")).alias("precision"), (F.col("cum_pos") / F.col("all_pos")).alias("recall")
+        "score", (F.col("cum_pos") / F.col("cum_n")).alias("precision"), F.try_divide(F.col("cum_pos"), F.col("all_pos")).alias("recall")
     )
 
 
@@ -89,7 +89,7 @@ def lift_curve(df: DataFrame, y: str, p: str) -> DataFrame:
     c = cumulate(by_score(df, y, p), "score", ["n", "pos"])
     share = F.col("cum_pos") / F.col("cum_n")
     base = F.col("all_pos") / F.col("all_n")
-    return c.select("score", (F.col("cum_n") / F.col("all_n")).alias("proportion"), (share / base).alias("lift"))
+    return c.select("score", (F.col("cum_n") / F.col("all_n")).alias("proportion"), F.try_divide(share, base).alias("lift"))
 
 
 def argmax_label(probabilities: list[str], labels: list[str]) -> Column:

@@ -67,8 +67,8 @@ def series_to_relational(long: DataFrame, key: str, label: str, order: str, valu
 
 def label_benchmark(df: DataFrame, group: str, tool: str, runtime: str, features: str, base: str) -> DataFrame:
     """Runtime table per group: features per second, and runtime relative to the base tool."""
-    own = df.withColumn("features_per_second", F.col(features) / F.col(runtime))
-    own = own.withColumn("__per", F.col(runtime) / F.col(features))
+    own = df.withColumn("features_per_second", F.try_divide(F.col(features), F.col(runtime)))
+    own = own.withColumn("__per", F.try_divide(F.col(runtime), F.col(features)))
     ref = own.where(F.col(tool) == base).select(group, F.col(runtime).alias("__rt"), F.col("__per").alias("__rp"))
     both = lookup(own, ref, [group])
     return both.select(
@@ -77,8 +77,8 @@ def label_benchmark(df: DataFrame, group: str, tool: str, runtime: str, features
         runtime,
         features,
         "features_per_second",
-        (F.col(runtime) / F.col("__rt")).alias("normalized_runtime"),
-        (F.col("__per") / F.col("__rp")).alias("normalized_runtime_per_feature"),
+        F.try_divide(F.col(runtime), F.col("__rt")).alias("normalized_runtime"),
+        F.try_divide(F.col("__per"), F.col("__rp")).alias("normalized_runtime_per_feature"),
     )
 
 

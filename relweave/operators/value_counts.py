@@ -65,10 +65,10 @@ def final(agg: Agg, values: list, counts: list[Column]) -> Column:
     if agg.func == "COUNT_MINUS_DISTINCT":
         return n - distinct
     if agg.func == "PERCENT_UNIQUE":
-        return F.when(n > 0, distinct / n)
+        return F.try_divide(distinct, n)
     if agg.func == "ENTROPY":
         weighted = _sum([F.when(c > 0, c * F.ln(c)).otherwise(0.0) for c in counts])
-        return F.when(n > 0, F.greatest(F.ln(n) - weighted / n, F.lit(0.0)))
+        return F.when(n > 0, F.greatest(F.ln(n) - F.try_divide(weighted, n), F.lit(0.0)))
     if agg.func == "MODE":
         top = F.greatest(*counts) if len(counts) > 1 else counts[0]
         out = F.when((counts[0] == top) & (top > 0), F.lit(values[0]))
@@ -79,7 +79,7 @@ def final(agg: Agg, values: list, counts: list[Column]) -> Column:
         ordered = counts[::-1] if agg.func == "NUM_MAX" else counts
         return F.coalesce(*[F.when(c > 0, c) for c in ordered], F.lit(0).cast("bigint"))
     if agg.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN"):
-        mean = _sum([F.lit(float(v)) * c for v, c in zip(values, counts)]) / n
+        mean = F.try_divide(_sum([F.lit(float(v)) * c for v, c in zip(values, counts)]), n)
         sides = [F.lit(float(v)) > mean if agg.func == "COUNT_ABOVE_MEAN" else F.lit(float(v)) < mean for v in values]
         return _sum([F.when(side, c).otherwise(0).cast("bigint") for side, c in zip(sides, counts)])
     p = 0.5 if agg.func == "MEDIAN" else agg.param

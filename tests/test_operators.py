@@ -144,3 +144,32 @@ def test_strftime_patterns():
     assert exprs.java_pattern("%Y-%m-%d %H:%M") == "yyyy-MM-dd HH:mm"
     assert exprs.java_pattern("%Y/%n") == "yyyy/M"
     assert exprs.java_pattern("T%H") == "'T'HH"
+
+
+def test_empty_inputs_give_nulls_not_errors(spark):
+    empty = spark.createDataFrame([], "y int, p double")
+    assert metrics.auc(empty, "y", "p").first()[0] is None
+    one_class = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, p double")
+    assert metrics.auc(one_class, "y", "p").first()[0] is None
+    assert metrics.roc_curve(one_class, "y", "p").where("fpr IS NULL").count() == 2
+    m = moments.covariances(empty, ["y", "p"])
+    assert m.n == 0
+
+
+def test_pandas_round_trip(spark):
+    from relweave.sources import tables
+
+    df = spark.createDataFrame([(1, 2.5, "a"), (2, 3.5, "b")], "id long, x double, c string")
+    pdf = tables.to_pandas(df)
+    back = tables.from_pandas(spark, pdf, {"x": R.NUMERICAL, "c": R.CATEGORICAL})
+    assert sorted(back.collect()) == sorted(df.collect()) and R.roles(back)["numerical"] == ["x"]
+    with pytest.raises(ValueError):
+        tables.to_pandas(df, max_rows=1)
+
+
+def test_joins_do_not_depend_on_column_names(spark):
+    """Internal names stay out of the way of short user columns."""
+    df = spark.createDataFrame([(1, 5.0, "a"), (1, 7.0, "b"), (2, 1.0, "a")], "k long, v double, n string")
+    aggs = [Agg("COUNT", name="o"), Agg("SUM", "v", name="s0"), Agg("MEDIAN", "v", name="hi"), Agg("MODE", "n", name="mean")]
+    got = {r["k"]: tuple(r)[1:] for r in grouping.group_aggregate(df, ["k"], aggs).collect()}
+    assert got == {1: (2, 12.0, 6.0, "a"), 2: (1, 1.0, 1.0, "a")}
