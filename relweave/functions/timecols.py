@@ -40,8 +40,8 @@ def is_time(dtype: T.DataType) -> bool:
 def order_sql(df: DataFrame, column: str) -> str:
     """SQL text of `column` as a long that keeps its order.
 
-    Zone-less time stamps are counted from the zone-less epoch, so the result does
-    not depend on the session zone.
+    Zone-less time stamps are counted from the zone-less epoch. Sessions run in UTC
+    (see session.SETTINGS), where no day is shorter or longer than the others.
     """
     dtype = df.schema[column].dataType
     quoted = f"`{column}`"

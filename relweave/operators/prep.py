@@ -149,7 +149,11 @@ class Imputation:
             new[c] = F.coalesce(x, F.lit(mean))
             if self.add_dummies:
                 new[f"{c}__missing"] = x.isNull().cast("double")
-        return df.withColumns(new)
+        out = df.withColumns(new)
+        for c in new:
+            known = df.schema[c].metadata if c in df.columns else {}
+            out = out.withMetadata(c, {"role": R.NUMERICAL, **known})
+        return out
 
 
 def check(population: DataFrame, tables: dict[str, DataFrame], joins) -> list[tuple[str, str, float]]:

@@ -46,8 +46,11 @@ def set_role(df: DataFrame, cols, role: str, time_formats: list[str] | None = No
     if role not in ROLES:
         raise ValueError(f"unknown role {role}")
     names = _list(cols)
+    known = {c: df.schema[c].metadata for c in names}
     df = df.withColumns({c: _convert(df, c, role, time_formats) for c in names})
-    return _annotate(df, names, role=role)
+    for c in names:
+        df = df.withMetadata(c, {**known[c], "role": role})
+    return df
 
 
 def set_unit(df: DataFrame, cols, unit: str) -> DataFrame:

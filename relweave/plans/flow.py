@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..operators import metrics, prep
 from ..operators import roles as R
 from . import select
-from .features import Feature, combine, correlations
+from .features import Feature, combine, correlations, fold_lookup
 from .model import DataModel, View
 from .predict import IncludeCategorical, Predictor
 
@@ -39,6 +39,9 @@ class Pipeline:
 
     def _prepare(self, view: View, targets: list[str], fit: bool) -> View:
         population, tables = view.population, dict(view.peripheral)
+        for join in self.model.population.joins:
+            if join.is_lookup:  # the columns of a lookup become columns of the population
+                population, _ = fold_lookup(population, tables[join.right.name], join)
         if fit:
             self._fitted = {}
         for i, step in enumerate(self.preprocessors):

@@ -152,3 +152,21 @@ def test_series_builders_replay(spark, folder):
     assert stat.fit(events).count() == events.count()
     hidden = StatSeriesBuilder(5, 10, "user_id", "ts", "value", ["event_id"])
     assert hidden._inputs(hidden._source(events)) == []
+
+
+def test_population_lookup_and_preprocessors(spark):
+    pop = spark.createDataFrame([(i, i % 4, float(i % 4) * 2 + 1) for i in range(80)], "id long, shop long, y double")
+    pop = R.set_role(R.set_role(pop, ["id", "shop"], R.JOIN_KEY), "y", R.TARGET)
+    shops = spark.createDataFrame([(i, float(i), f"kind{i % 2}", f"0{i}7") for i in range(4)], "shop long, size double, kind string, code string")
+    shops = R.set_role(R.set_role(R.set_role(shops, "shop", R.JOIN_KEY), "size", R.NUMERICAL), ["kind", "code"], R.CATEGORICAL)
+    dm = DataModel(Placeholder("population", ("id",))).add("shops")
+    dm.population.join(dm.shops, on="shop", relationship="many_to_one")
+    from relweave.operators import prep
+
+    pipe = flow.Pipeline(
+        dm, preprocessors=[prep.Mapping(), prep.Imputation()], predictors=[predict.LinearRegression()], include_categorical=True
+    )
+    view = View(pop, {"shops": shops})
+    pipe.fit(view, ["y"])
+    assert "shops__size" in pipe.columns and "shops__kind__mean_target" in pipe.columns
+    assert pipe.score(view).first()["rsquared"] > 0.999
