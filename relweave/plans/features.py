@@ -274,7 +274,19 @@ class Propositionalizer:
     def _features(self, model: DataModel, view: View, keep: list[str]) -> DataFrame:
         out = view.population
         wanted = set(self.selected)
-        for relation in self._compile(model, view):
+        relations = self._compile(model, view)
+        row_id = list(model.population.row_id)
+        if relations and keep == row_id and all(r.plan is not None and not r.comparisons for r in relations):
+            # every part has one row per population row already: no join with the population
+            parts = []
+            for relation in relations:
+                names = feature_names(relation)
+                used = [a for a in relation.aggs if names[a.alias] in wanted]
+                if used:
+                    parts.append(aggregate(out, replace(relation, aggs=used)).withColumnsRenamed(names))
+            if parts:
+                return combine(parts, row_id).select(*keep, *[F.col(f"`{c}`") for c in self.selected])
+        for relation in relations:
             names = feature_names(relation)
             needed = wanted | {f for n, _, f in relation.comparisons if n in wanted}
             used = [a for a in relation.aggs if names[a.alias] in needed]
