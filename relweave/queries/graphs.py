@@ -57,23 +57,23 @@ def _(spark, d):
 @query(
     "g4_graph_stats",
     f"""WITH e AS ({EDGES}), n AS (SELECT count(*) AS nodes FROM customer)
-    SELECT nodes, (SELECT count(*) FROM e) AS edges, CAST(CAST((SELECT count(*) FROM e) / nodes AS FLOAT) AS DOUBLE) AS mean_degree,
+    SELECT nodes, (SELECT count(*) FROM e) AS edges, (SELECT count(*) FROM e) / nodes AS mean_degree,
     (SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT src FROM e) AND c_custkey NOT IN (SELECT dst FROM e)) AS isolated_nodes,
     (SELECT count(*) FROM e WHERE src = dst) AS self_loops,
     CAST(NOT EXISTS (SELECT src, dst FROM e EXCEPT SELECT dst, src FROM e) AS INTEGER) AS undirected FROM n""",
 )
 def _(spark, d):
-    return rounded(graph.graph_stats(nodes(spark, d), edges(spark, d), "id", "src", "dst"))
+    return graph.graph_stats(nodes(spark, d), edges(spark, d), "id", "src", "dst")
 
 
 @query(
     "g4_label_rate",
-    """SELECT CAST(CAST(sum(CASE WHEN r <= cut THEN 1 ELSE 0 END) / count(*) AS FLOAT) AS DOUBLE) AS train_rate FROM
+    """SELECT avg(CASE WHEN r <= cut THEN 1.0::DOUBLE ELSE 0 END) AS train_rate FROM
     (SELECT row_number() OVER (ORDER BY c_custkey) AS r, CAST(floor((SELECT count(*) FROM customer) * 0.7) AS BIGINT) AS cut FROM customer) AS q""",
 )
 def _(spark, d):
     rows = splits.split_head(nodes(spark, d), ["id"], 0.7)
-    return rounded(rows.agg(F.avg((F.col("split") == "train").cast("double")).alias("train_rate")))
+    return rows.agg(F.avg((F.col("split") == "train").cast("double")).alias("train_rate"))
 
 
 @query(

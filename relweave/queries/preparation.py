@@ -98,8 +98,8 @@ def _(spark, d):
 
 @query(
     "m9_check",
-    """SELECT 'keys without partner' AS kind, 'labels' AS place, CAST(CAST((SELECT count(*) FROM documents WHERE doc_id NOT IN
-    (SELECT doc_id FROM labels)) / (SELECT count(*) FROM documents) AS FLOAT) AS DOUBLE) AS value
+    """SELECT 'keys without partner' AS kind, 'labels' AS place, ((SELECT count(*) FROM documents WHERE doc_id NOT IN
+    (SELECT doc_id FROM labels)) / (SELECT count(*) FROM documents)) AS value
     UNION ALL SELECT 'lookup keys not unique', 'lineitem', (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1) AS q)::DOUBLE
     UNION ALL SELECT 'column is always null', 'labels.empty', 1.0::DOUBLE""",
 )
@@ -113,7 +113,7 @@ def _(spark, d):
     lookup = [Join(Placeholder("lineitem"), keys, relationship=MANY_TO_ONE)]
     more = prep.check(orders, {"lineitem": items}, lookup)
     rows = warnings + [w for w in more if w[0] == "lookup keys not unique"]
-    return rounded(spark.createDataFrame(rows, "kind string, place string, value double"))
+    return spark.createDataFrame(rows, "kind string, place string, value double")
 
 
 @query(

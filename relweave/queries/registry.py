@@ -39,11 +39,16 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to seven significant digits, so the order of summation does not show."""
+    """Doubles to seven significant digits, so the order of summation does not show.
+
+    Sums of cents can lie exactly between two such numbers; the factor 1 + 2^-26, far
+    below the seventh digit, moves them off the middle in the same way on both sides.
+    """
+    off_middle = F.lit(1.0 + 2.0**-26)
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        cols.append(c.cast("float").cast("double").alias(f.name) if isinstance(f.dataType, T.DoubleType) else c)
+        cols.append((c * off_middle).cast("float").cast("double").alias(f.name) if isinstance(f.dataType, T.DoubleType) else c)
     return df.select(*cols)
 
 
@@ -51,5 +56,5 @@ def rounded_sql(inner: str, keep: list[str] | str, floats: list[str] | str) -> s
     """The same rounding for the oracle."""
     keep = keep.split() if isinstance(keep, str) else keep
     floats = floats.split() if isinstance(floats, str) else floats
-    cols = [*keep, *[f"CAST(CAST({c} AS FLOAT) AS DOUBLE) AS {c}" for c in floats]]
+    cols = [*keep, *[f"CAST(CAST({c} * (1 + pow(2, -26)) AS FLOAT) AS DOUBLE) AS {c}" for c in floats]]
     return f"SELECT {', '.join(cols)} FROM ({inner.strip()}) AS q"

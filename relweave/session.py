@@ -44,7 +44,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder, so lost executors lose nothing."""
-    shared_dir(df.sparkSession)
+    folder = shared_dir(df.sparkSession)
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
 
 
