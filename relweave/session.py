@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -23,6 +26,30 @@ def build_session(app: str = "relweave", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """`df`, once this package is on the Python path of the workers.
+
+    Functions that run there refer to modules of the package, which a session started
+    from another folder, or executors on other machines, would not find.
+    """
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(SparkFiles.getRootDirectory(), f"{os.path.basename(package)}-package.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+            for folder, _, names in os.walk(package):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(target)
+        _shipped.add(context.applicationId)
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named by ``spark.checkpoint.dir``.
 
