@@ -206,7 +206,7 @@ def compare(batches, threshold: int):
             ends = np.cumsum(n)
             h = np.repeat(first - (ends - n), n) + np.arange(ends[-1])
             a, b = np.repeat(value[g], n), value[h]
-            near = (np.bitwise_count(a ^ b) <= threshold) & (a != b)
+            near = (np.bitwise_count((a ^ b).view(np.uint64)) <= threshold) & (a != b)
             if near.any():
                 u, v = contract(a[near], b[near])
                 left.append(u)
