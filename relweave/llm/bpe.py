@@ -23,7 +23,7 @@ from .common import map_texts, ranges
 NONE = np.iinfo(np.int64).max
 WIDEST = 64
 ROWS = 8192
-CACHED = 400_000
+CACHED = 250_000
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shipped
 
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -29,6 +29,7 @@ TIERS = (512, 1024, 2048, 4096)
 STEP = 32_768
 HELD = 1_000_000
 END = 2
+CHUNKS = 500_000
 
 
 class Tokens:
@@ -55,7 +56,7 @@ class Tokens:
         self.ends_word[[i for w, i in vocab.items() if suffix and w.endswith(suffix)]] = True
         self.odd = re.compile("[\x1c-\x1f]").search
         self.blanks = re.compile("[\t\n\x0b\x0c\r ]+").split
-        self.chunks, self.words = Store(), Store()
+        self.chunks, self.words = Store(CHUNKS), Store(CHUNKS)
 
     def split(self, text: str) -> list[str]:
         return [w for w in self.blanks(text) if w] if self.odd(text) else text.split()
