@@ -10,15 +10,13 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ..session import shipped
-from .common import map_texts, ranges
+from .common import kept, map_texts, ranges, streamed
 
 NONE = np.iinfo(np.int64).max
 WIDEST = 64
@@ -308,12 +306,6 @@ class Encoder:
         return ids, np.diff(ends)
 
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    """One per Python worker, so that later tasks find the pieces of earlier ones."""
-    return Encoder(path)
-
-
 def decode_ids(vocab: Vocabulary, ids: list[int]) -> str:
     """Text of the ids; bytes that are no UTF-8 become U+FFFD."""
     return b"".join(map(vocab.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -327,7 +319,7 @@ def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> D
     """
 
     def work():
-        this = encoder(path)
+        this = kept(f"encoder {path}", lambda: Encoder(path))
 
         def step(rows, texts):
             ids, counts = this.encode(texts)
@@ -336,7 +328,7 @@ def encode(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> D
 
         return step
 
-    return map_texts(docs, keep, "ids array<int>", work, text)
+    return map_texts(docs, keep, "ids array<int>", work, text, lasting=True)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -354,5 +346,5 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
                 texts = [None if x is None else decode_ids(vocab, x) for x in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*[f"c{i}" for i in range(len(fields))], "t"])
 
-    out = shipped(encoded).toDF(*[f"c{i}" for i in range(len(fields))]).mapInArrow(run, schema)
+    out = streamed(encoded).toDF(*[f"c{i}" for i in range(len(fields))]).mapInArrow(run, schema)
     return out.toDF(*[f.name for f in fields], name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 
 from ..session import shipped
 
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 500_000
+BATCH_ROWS, BATCH_BYTES = 2000, 8 * 2**20
+
+_kept: dict[str, object] = {}
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,12 +42,34 @@ def groups(texts: list[str | None], chars: int = GROUP_CHARS) -> Iterator[tuple[
         yield first, held
 
 
-def map_texts(docs: DataFrame, keep: list[str | Column], schema: str, work: Callable[[], Callable[[pa.RecordBatch, list[str]], list[pa.Array]]], text: str = "text") -> DataFrame:
+def kept(name: str, build: Callable[[], object]) -> object:
+    """What a Python worker holds on to for its next tasks: one object, that of the latest operator."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = build()
+    return _kept[name]
+
+
+def streamed(df: DataFrame) -> DataFrame:
+    """`df`, ready to go through Python: the package is there, and batches are small.
+
+    Texts can be long, so a batch of Spark's usual 10,000 rows may be too much for a worker.
+    """
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(re.sub("[a-z]", "", conf.get(key))) <= most:
+            conf.set(key, str(most))
+    return shipped(df)
+
+
+def map_texts(docs: DataFrame, keep: list[str | Column], schema: str, work: Callable[[], Callable[[pa.RecordBatch, list[str]], list[pa.Array]]], text: str = "text", lasting: bool = False) -> DataFrame:
     """The columns `keep` of every row and new ones computed from its text, in Arrow batches.
 
     `work()` is called once per task and returns a function that gets a bounded run of
     rows and their texts (null: empty) and returns the arrays of the new columns, which
-    `schema` names. Internal names are positions, so names of `docs` cannot clash.
+    `schema` names. Internal names are positions, so names of `docs` cannot clash. `lasting`
+    says that `work` uses what the worker has kept; otherwise that is let go.
     """
     named = [isinstance(c, str) for c in keep]
     columns = [F.col(f"`{c}`") if n else c for c, n in zip(keep, named, strict=True)]
@@ -54,6 +80,8 @@ def map_texts(docs: DataFrame, keep: list[str | Column], schema: str, work: Call
     names = [*[f"c{i}" for i in range(width)], *[f"n{i}" for i in range(len(schema.split(", ")))]]
 
     def run(batches):
+        if not lasting:
+            _kept.clear()
         step = work()
         for batch in batches:
             for first, texts in groups(batch.column(at).to_pylist()):
@@ -61,7 +89,7 @@ def map_texts(docs: DataFrame, keep: list[str | Column], schema: str, work: Call
                 yield pa.RecordBatch.from_arrays([*rows.columns[:width], *step(rows, texts)], names=names)
 
     new = [x.split(" ", 1) for x in schema.split(", ")]
-    out = shipped(sent).mapInArrow(run, ", ".join([*[f"c{i} {k}" for i, k in enumerate(kinds)], *[f"n{i} {k}" for i, (_, k) in enumerate(new)]]))
+    out = streamed(sent).mapInArrow(run, ", ".join([*[f"c{i} {k}" for i, k in enumerate(kinds)], *[f"n{i} {k}" for i, (_, k) in enumerate(new)]]))
     return out.toDF(*[c if n else f"c{i}" for i, (c, n) in enumerate(zip(keep, named, strict=True))], *[n for n, _ in new])
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right, insort
-from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -21,15 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shipped
 from .bpe import Store
-from .common import groups
+from .common import groups, kept, streamed
 
 TIERS = (512, 1024, 2048, 4096)
 STEP = 32_768
 HELD = 1_000_000
 END = 2
-CHUNKS = 500_000
+CHUNKS = 300_000
 
 
 class Tokens:
@@ -106,11 +104,6 @@ class Tokens:
         return [np.concatenate([x, stop]) for x in np.split(ids, ends[:-1])]
 
 
-@lru_cache(maxsize=1)
-def tokens(path: str) -> Tokens:
-    return Tokens(path)
-
-
 class Packer:
     """Windows of one task. A piece is (document, start, length); a window is a list of pieces."""
 
@@ -205,7 +198,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ti
     names = ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "tier", "step"]
 
     def run(batches):
-        coder, packer = tokens(path), Packer(tiers, step, held)
+        coder, packer = kept(f"tokens {path}", lambda: Tokens(path)), Packer(tiers, step, held)
         high = TaskContext.get().partitionId() << 40
         known: dict[int, list] = {}  # document -> key, ids, ids not yet given out
         count = 0
@@ -240,7 +233,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ti
         if key_type is not None:
             yield from rows(packer.end())
 
-    out = shipped(docs).select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).mapInArrow(
+    out = streamed(docs).select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t")).mapInArrow(
         run, f"key {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier long, step long"
     )
     return out.withColumnRenamed("key", key)

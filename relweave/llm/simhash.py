@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint, shipped
-from .common import map_texts
+from ..session import checkpoint
+from .common import map_texts, streamed
 from .components import components
 
 SHINGLE = 4
@@ -146,7 +146,7 @@ def anchored(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                     visit = np.concatenate([np.zeros(len(homes), np.int8), np.ones(len(rows), np.int8)])
                     yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(visit), pa.array(np.concatenate([value, value[rows]]))], names=["anchor", "visit", "fingerprint"])
 
-    return shipped(prints).select("fingerprint").mapInArrow(run, "anchor long, visit byte, fingerprint long")
+    return streamed(prints).select("fingerprint").mapInArrow(run, "anchor long, visit byte, fingerprint long")
 
 
 # ---- comparison
@@ -232,7 +232,7 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, homes: int = HOMES) ->
     part = F.explode(F.when(F.col("visit") == 0, F.array(own)).otherwise(F.sequence(F.lit(0), F.col("parts") - 1)))
     placed = rows.select("anchor", "visit", "fingerprint", part.alias("part")).select((F.col("anchor") * 65536 + F.col("part")).alias("place"), "visit", "fingerprint")
     dealt = placed.repartition("place").sortWithinPartitions("place", "visit")
-    return shipped(dealt).mapInArrow(lambda batches: compare(batches, threshold), "u long, v long")
+    return streamed(dealt).mapInArrow(lambda batches: compare(batches, threshold), "u long, v long")
 
 
 def classes(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint, shipped
+from ..session import checkpoint
+from .common import streamed
 
 SHARD = 4096
 BLOCK = 2048
@@ -141,14 +142,14 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD, b
     spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     own = rows.select(home.alias("shard"), "dims", spread.alias("lot"), F.lit(0).alias("kind"), "id", F.lit(NOTHING).alias("least"), "vector")
     first = asked.select(home.alias("shard"), "dims", lot.alias("lot"), F.lit(1).alias("kind"), "id", F.lit(NOTHING).alias("least"), "vector")
-    near = checkpoint(shipped(own).unionByName(first).groupBy("shard", "dims", "lot").applyInArrow(work, schema))
+    near = checkpoint(streamed(own).unionByName(first).groupBy("shard", "dims", "lot").applyInArrow(work, schema))
     reached = near.groupBy("query_id").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("found"))
     bound = reached.select(F.col("query_id").alias("id"), F.when(F.col("found") >= k, F.col("kth")).otherwise(F.lit(NOTHING)).alias("least"))
     others = asked.join(bound, "id", "left").select(
         F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)).alias("shard"), "dims", lot.alias("lot"), F.lit(1).alias("kind"), "id",
         F.coalesce("least", F.lit(NOTHING)).alias("least"), "vector",
     )
-    far = shipped(own).unionByName(others).groupBy("shard", "dims", "lot").applyInArrow(work, schema)
+    far = streamed(own).unionByName(others).groupBy("shard", "dims", "lot").applyInArrow(work, schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = near.unionByName(far).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint, shipped
-from .common import groups, map_texts
+from ..session import checkpoint
+from .common import groups, map_texts, streamed
 
 BITS = 20
 SIZES = (4, 5)
@@ -116,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, places: int
         some = np.flatnonzero(found.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(found[1][some]), pa.array(found[0][some])], names=["place", "toxic", "clean"])
 
-    counts = shipped(rows).mapInArrow(count, "place long, toxic long, clean long").groupBy("place").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = streamed(rows).mapInArrow(count, "place long, toxic long, clean long").groupBy("place").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     ratio = F.log((F.col("toxic") + smooth) / (toxic + 2 * smooth)) - F.log((F.col("clean") + smooth) / (clean + 2 * smooth))
     merit = F.abs(ratio) * F.sqrt(F.when(ratio > 0, F.col("toxic") / toxic).otherwise(F.col("clean") / clean))
     best = counts.select("place", ratio.alias("ratio"), merit.alias("merit")).orderBy(F.desc("merit"), "place").limit(places).collect()
@@ -138,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, places: int
                 held = np.split((both & 0xFFFFFFFF).astype(np.int32), ends[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(marks[first : first + len(texts)], pa.int32()), pa.array(list(held), pa.list_(pa.int32()))], names=["toxic", "held"])
 
-    found = shipped(rows).mapInArrow(present, "toxic int, held array<int>").orderBy("toxic", "held").collect()
+    found = streamed(rows).mapInArrow(present, "toxic int, held array<int>").orderBy("toxic", "held").collect()
     target = np.array([r["toxic"] for r in found], dtype=float)
     lengths = np.array([len(r["held"]) for r in found], dtype=np.int64)
     held = np.array([x for r in found for x in r["held"]], dtype=np.int64)
