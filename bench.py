@@ -39,7 +39,7 @@ def window_features(spark, folder):
 
 
 def series_features(spark, folder):
-    """Keyless time series: two hours of memory, one hour of horizon, lagged targets."""
+    """Time series per user: one day of memory, one hour of horizon."""
     events = load_dataset(spark, folder, ["events"])["events"]
     series = TimeSeries(events, "ts", ["event_id"], on="user_id", horizon=hours(1), memory=days(1))
     learner = Propositionalizer(A.ALL, quantiles=A.QUANTILES, n_most_frequent=2).fit(series, series.full)

@@ -109,11 +109,14 @@ def hash_unit(*cols: Column | str, seed: int = 0) -> Column:
     """Repeatable pseudo-random number in [0, 1) of a row's key.
 
     Unlike rand(), it does not depend on partitions, so a recomputed task or another
-    cluster gives the same rows. Only integer arithmetic, and key parts are integers.
+    cluster gives the same rows. Only integer arithmetic; a key part that is no whole
+    number counts with the checksum of its text, a missing one as 0.
     """
     h = F.lit(seed % 2147483647).cast("long")
     for c in cols:
-        h = F.pmod(h * 48271 + F.pmod(_col(c).cast("long"), F.lit(2147483647)) * 16807 + 11, F.lit(2147483647))
+        text = _col(c).cast("string")
+        part = F.coalesce(text.try_cast("long"), F.crc32(text.cast("binary")), F.lit(0).cast("long"))
+        h = F.pmod(h * 48271 + F.pmod(part, F.lit(2147483647)) * 16807 + 11, F.lit(2147483647))
         h = F.pmod(h * 69621 + 7, F.lit(2147483647))
     return h / F.lit(2147483647.0)
 

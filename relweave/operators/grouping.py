@@ -184,6 +184,8 @@ def group_aggregate(df: DataFrame, keys: list[str], aggs: list[Agg], time: str |
             parts.append(_holistic(df, keys, numeric, "DOUBLE"))
         if other:
             parts.append(_holistic(df, keys, other, "STRING"))
+    if not parts:
+        parts.append(df.select(*keys).dropna().distinct())
     out = reduce(lambda a, b: a.join(b, keys, "left"), parts)
     counts = [a.alias for a in aggs if a.func in COUNT_LIKE]
     return out.fillna(0, subset=counts).select(*keys, *[F.col(f"`{a.alias}`") for a in aggs])

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shipped
+
 
 @dataclass(frozen=True)
 class Moments:
@@ -35,85 +37,95 @@ def _clean(c: str | Column) -> Column:
     return F.when(x.isNull() | F.isnan(x), 0.0).otherwise(x)
 
 
-def _shift(rows: DataFrame) -> np.ndarray:
-    """Rough column means from the first rows; sums about them keep their digits."""
-    head = rows.limit(500).collect()
-    return np.mean([r[0] for r in head], axis=0) if head else np.zeros(0)
-
-
 def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
     return batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def covariances(df: DataFrame, columns: list[str]) -> Moments:
-    """Full covariance matrix; missing values count as 0."""
-    width = len(columns)
-    rows = df.select(F.array(*[_clean(c) for c in columns]).alias("x"))
-    shift = _shift(rows)
-    if not len(shift):
-        return Moments(0, {c: i for i, c in enumerate(columns)}, np.zeros(width), np.zeros((width, width)))
+def _merged(n: float, mean: np.ndarray, co: np.ndarray, m: float, other: np.ndarray, more: np.ndarray, rows=slice(None), with_y: bool = False):
+    """Two states (count, means, co-moments about them) as one; `co` has the given rows, or one column for y."""
+    total = n + m
+    gap = other - mean
+    left, right = (gap, gap[-1:]) if with_y else (gap[rows], gap)
+    return total, mean + gap * (m / total), co + more + np.outer(left, right) * (n * m / total)
+
+
+def _state(x: np.ndarray, with_y: bool):
+    mean = x.mean(axis=0)
+    centred = x - mean
+    return len(x), mean, centred.T @ (centred[:, -1:] if with_y else centred)
+
+
+def _moments(rows: DataFrame, width: int, with_y: bool) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """Count, means, variances (times count) and co-moments of `x`, with the last column only if `with_y`.
+
+    Every task merges the states of its batches, each about its own means, so digits do
+    not suffer from a far origin. A state travels as one row per column of the matrix
+    (all columns in one row if only the last one counts) and rows are merged by number.
+    """
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram = np.zeros((width + 1, width + 1))
+        n, mean, co, square = 0.0, np.zeros(width), np.zeros((width, 1 if with_y else width)), np.zeros(width)
         for batch in batches:
-            x = _matrix(batch, width) - shift
-            x = np.hstack([x, np.ones((len(x), 1))])
-            gram += x.T @ x
-        if gram[width, width]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width + 1)), pa.array(list(gram))], ["i", "v"])
+            x = _matrix(batch, width)
+            if not len(x):
+                continue
+            m, other, more = _state(x, with_y)
+            squares = ((x - other) ** 2).sum(axis=0)
+            square = square + squares + (other - mean) ** 2 * (n * m / (n + m))
+            n, mean, co = _merged(n, mean, co, m, other, more, with_y=with_y)
+        if n:
+            parts = [(0, co.ravel())] if with_y else list(enumerate(co))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i for i, _ in parts]), pa.array([n] * len(parts)), pa.array([mean] * len(parts)), pa.array([square] * len(parts)), pa.array([v for _, v in parts])],
+                ["i", "n", "m", "s", "v"],
+            )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        total: dict[int, tuple] = {}
         for batch in batches:
-            values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width + 1)
-            for i, v in zip(batch.column(0).to_pylist(), values):
-                total[i] = total[i] + v if i in total else v.copy()
+            for r in batch.to_pylist():
+                i, m, other, squares, more = r["i"], r["n"], np.array(r["m"]), np.array(r["s"]), np.array(r["v"])
+                if i not in total:
+                    total[i] = (m, other, squares, more)
+                    continue
+                n, mean, square, co = total[i]
+                square = square + squares + (other - mean) ** 2 * (n * m / (n + m))
+                if with_y:
+                    n, mean, co = _merged(n, mean, co[:, None], m, other, more[:, None], with_y=True)
+                    co = co[:, 0]
+                else:
+                    n, mean, co = _merged(n, mean, co[None, :], m, other, more[None, :], rows=slice(i, i + 1))
+                    co = co[0]
+                total[i] = (n, mean, square, co)
         if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array(list(total.values()))], ["i", "v"])
+            cols = list(zip(*total.values(), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(list(total)), *[pa.array(list(c)) for c in cols]], ["i", "n", "m", "s", "v"])
+
+    kind = "i long, n double, m array<double>, s array<double>, v array<double>"
+    # a row of the matrix is merged in one task; at most `width` rows result
+    found = shipped(rows).mapInArrow(fold, kind).repartition("i").mapInArrow(add, kind).collect()
+    if not found:
+        return 0.0, np.zeros(width), np.zeros(width), np.zeros(width if with_y else (width, width))
+    co = np.zeros((width, width))
+    for r in found:
+        co[r["i"]] = r["v"]
+    first = found[0]
+    return first["n"], np.array(first["m"]), np.array(first["s"]), co[0] if with_y else co
+
 
-    partial = rows.mapInArrow(fold, "i long, v array<double>")
-    # a row of the matrix is added up in one task; at most width + 1 rows result
-    summed = partial.repartition("i").mapInArrow(add, "i long, v array<double>").collect()
-    gram = np.zeros((width + 1, width + 1))
-    for r in summed:
-        gram[r["i"]] = r["v"]
-    n = gram[width, width]
-    mean = gram[width, :width] / max(n, 1)
-    cov = gram[:width, :width] / max(n, 1) - np.outer(mean, mean)
-    return Moments(int(n), {c: i for i, c in enumerate(columns)}, mean + shift, cov)
+def covariances(df: DataFrame, columns: list[str]) -> Moments:
+    """Full covariance matrix; missing values count as 0."""
+    rows = df.select(F.array(*[_clean(c) for c in columns]).alias("x"))
+    n, mean, _, co = _moments(rows, len(columns), with_y=False)
+    return Moments(int(n), {c: i for i, c in enumerate(columns)}, mean, co / max(n, 1))
 
 
 def cross_moments(df: DataFrame, columns: list[str], y: Column) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, float, float]:
     """n, column means, column variances, covariances with y, mean and variance of y."""
-    width = len(columns) + 1
     rows = df.select(F.array(*[_clean(c) for c in columns], y.cast("double")).alias("x")).where(F.element_at("x", -1).isNotNull())
-    shift = _shift(rows)
-    if not len(shift):
-        zero = np.zeros(width - 1)
-        return 0, zero, zero, zero, 0.0, 0.0
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, s, q, p = 0, np.zeros(width), np.zeros(width), np.zeros(width)
-        for batch in batches:
-            x = _matrix(batch, width) - shift
-            n += len(x)
-            s += x.sum(axis=0)
-            q += (x * x).sum(axis=0)
-            p += x.T @ x[:, -1]
-        if n:
-            cols = [np.arange(width), np.full(width, n), s, q, p]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["i", "n", "s", "q", "p"])
-
-    partial = rows.mapInArrow(fold, "i long, n long, s double, q double, p double")
-    found = partial.groupBy("i").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum("p").alias("p")).collect()
-    table = np.zeros((width, 4))
-    for r in found:
-        table[r["i"]] = (r["n"], r["s"], r["q"], r["p"])
-    n = table[0, 0]
-    mean = table[:, 1] / n
-    var = np.maximum(table[:, 2] / n - mean * mean, 0.0)
-    cov = table[:, 3] / n - mean * mean[-1]
-    return int(n), mean[:-1] + shift[:-1], var[:-1], cov[:-1], float(mean[-1] + shift[-1]), float(var[-1])
+    n, mean, square, co = _moments(rows, len(columns) + 1, with_y=True)
+    var, cov = square / max(n, 1), co / max(n, 1)
+    return int(n), mean[:-1], var[:-1], cov[:-1], float(mean[-1]), float(var[-1])
 
 
 def pearson(var: np.ndarray, cov: np.ndarray, var_y: float) -> np.ndarray:

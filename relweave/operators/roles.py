@@ -28,16 +28,16 @@ def _annotate(df: DataFrame, cols: list[str], **entries) -> DataFrame:
 def _convert(df: DataFrame, name: str, role: str, time_formats: list[str] | None) -> Column:
     col, dtype = F.col(f"`{name}`"), df.schema[name].dataType
     if role in (NUMERICAL, TARGET, UNUSED_FLOAT):
-        return exprs.null_if_missing(col.cast("double"))
+        return exprs.null_if_missing(col.try_cast("double"))
     if role in (CATEGORICAL, TEXT, UNUSED_STRING):
         text = col.cast("string")
-        return F.when(text != "NULL", text)
+        return F.when(~text.isin("NULL", ""), text)
     if role == TIME_STAMP:
         if time_formats:
             return exprs.as_ts(col, time_formats)
         if isinstance(dtype, T.NumericType):
             return F.timestamp_seconds(col)
-        return col if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)) else col.cast("timestamp")
+        return col if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)) else col.try_cast("timestamp")
     return col
 
 
@@ -110,6 +110,6 @@ LOGICAL_TYPES = {
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Coerce columns to declared logical types in one projection."""
-    cols = [F.col(c).cast(LOGICAL_TYPES[types[c]]).alias(c) if c in types else F.col(c) for c in df.columns]
+    """Coerce columns to declared logical types in one projection; what does not fit becomes null."""
+    cols = [F.col(c).try_cast(LOGICAL_TYPES[types[c]]).alias(c) if c in types else F.col(c) for c in df.columns]
     return df.select(*cols)

@@ -61,7 +61,7 @@ def resolve(place: Placeholder, tables: dict[str, DataFrame], spec: Propositiona
             df, added = fold_lookup(df, right, join)
             sources.update({new: inner[old] for old, new in added.items()})
         else:
-            relation = spec.relation(df, join, right, inner, (*path, join.right.name), limit=spec.num_subfeatures)
+            relation = spec.relation(df, join, right, inner, (*path, join.right.name), limit=spec.num_subfeatures, row_id=place.row_id)
             spec.nested[(*path, join.right.name)] = relation
             df = attach(df, place.row_id, relation)
             names = feature_names(relation)
@@ -176,7 +176,7 @@ class Propositionalizer:
                 out.append(Agg("QUANTILE", f"`{column}`", condition, f"q{q * 100:g}__{column}{tag}".replace(".", "_"), q))
         return out
 
-    def relation(self, left: DataFrame, join: Join, right: DataFrame, sources, path, limit=None) -> Relation:
+    def relation(self, left: DataFrame, join: Join, right: DataFrame, sources, path, limit=None, row_id=None) -> Relation:
         by_role = R.roles(right)
         keys = {r for _, r in join.on}
         timed, bounded = join.time_stamps is not None, join.memory is not None
@@ -201,7 +201,7 @@ class Propositionalizer:
         aggs = aggs[: limit or len(aggs)]
         relation = Relation(join, path, right, aggs, sources)
         if timed:
-            rid = self._row_id
+            rid = self._row_id if row_id is None else row_id
             relation.plan = interval.plan_interval(
                 left, right, aggs, on=list(join.on), times=join.time_stamps, row_id=list(rid),
                 horizon=join.horizon, memory=join.memory,

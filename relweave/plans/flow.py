@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable
+from dataclasses import replace
 from itertools import product
 
 from pyspark.sql import DataFrame
@@ -12,8 +14,8 @@ from pyspark.sql import types as T
 from ..operators import metrics, prep
 from ..operators import roles as R
 from . import select
-from .features import Feature, combine, correlations, fold_lookup
-from .model import DataModel, View
+from .features import Feature, Propositionalizer, combine, correlations, fold_lookup, resolve
+from .model import DataModel, Placeholder, View
 from .predict import IncludeCategorical, Predictor
 
 
@@ -41,15 +43,24 @@ class Pipeline:
         population, tables = view.population, dict(view.peripheral)
         for join in self.model.population.joins:
             if join.is_lookup:  # the columns of a lookup become columns of the population
-                population, _ = fold_lookup(population, tables[join.right.name], join)
+                spec = Propositionalizer(compare_units=False)
+                right, _ = resolve(join.right, tables, spec, (join.right.name,))
+                population, _ = fold_lookup(population, right, join)
         if fit:
             self._fitted = {}
+            self._model = self.model
         for i, step in enumerate(self.preprocessors):
             if isinstance(step, prep.Mapping):
                 if fit:
                     step.fit(population, targets[0])
                 population = step.transform(population)
                 continue
+            if isinstance(step, prep.TextFieldSplitter):
+                if fit:
+                    step.fit(population)
+                    self._model = _with_words(self._model, step)
+                tables.update({words_table(c): words for c, words in step.transform(population).items()})
+                continue
             for name, df in {"": population, **tables}.items():
                 if fit:
                     # one fitted copy per table: columns are found by role and unit
@@ -70,8 +81,10 @@ class Pipeline:
         self._peripheral = view.peripheral
         prepared = self._prepare(view, targets, fit=True)
         self._tables = prepared.peripheral
-        for learner in self.learners:
-            learner.fit(self.model, prepared, targets[0])
+        # with several targets, each gets learners of its own
+        self._learners = [(None if len(targets) == 1 else t, learner if t == targets[0] else copy.deepcopy(learner)) for t in targets for learner in self.learners]
+        for target, learner in self._learners:
+            learner.fit(self._model, prepared, target or targets[0])
         if self.include_categorical:
             self._categories = IncludeCategorical(R.roles(prepared.population)[R.CATEGORICAL]).fit(prepared.population)
         flat = self._flat(prepared)
@@ -95,12 +108,20 @@ class Pipeline:
             population, extra = self._categories.transform(population)
         targets = [t for t in self.targets if t in population.columns]
         own = population.select(*dict.fromkeys([*rid, *targets, *self._own(population, targets), *extra]))
-        return combine([own, *[learner.transform(self.model, view) for learner in self.learners]], rid)
+        parts = []
+        for target, learner in self._learners:
+            part = learner.transform(self._model, view)
+            if target:
+                part = part.withColumnsRenamed({c: f"{c}__for_{target}" for c in part.columns if c not in rid})
+            parts.append(part)
+        return combine([own, *parts], rid)
 
     def _view(self, view: View) -> View:
         prepared = self._prepare(view, self.targets, fit=False)
         same = view.peripheral.keys() == self._peripheral.keys() and all(view.peripheral[k] is v for k, v in self._peripheral.items())
-        return View(prepared.population, self._tables if same else prepared.peripheral)
+        # words belong to the population of the view, all other tables to the container
+        own = {k: v for k, v in prepared.peripheral.items() if k not in view.peripheral}
+        return View(prepared.population, {**self._tables, **own} if same else prepared.peripheral)
 
     def transform(self, view: View, table: str | None = None) -> DataFrame:
         """The flat feature table; with `table`, also registered under that name."""
@@ -121,7 +142,7 @@ class Pipeline:
     # ---- inspection -------------------------------------------------------------------
 
     def features(self) -> list[Feature]:
-        return [f for learner in self.learners for f in learner.features()]
+        return [replace(f, name=f"{f.name}__for_{t}") if t else f for t, learner in self._learners for f in learner.features()]
 
     def importances(self, target_num: int = 0) -> dict[str, float]:
         return self.predictors[0].importances(self.targets[target_num])
@@ -145,6 +166,18 @@ class Pipeline:
         return Catalogue(spark.createDataFrame(rows, schema))
 
 
+def words_table(column: str) -> str:
+    return f"words_of_{column}"
+
+
+def _with_words(model: DataModel, step: prep.TextFieldSplitter) -> DataModel:
+    """The model with the words of each text column as a further many-to-many table."""
+    population = Placeholder(model.population.name, model.population.row_id, list(model.population.joins))
+    for c in step.columns:
+        population.join(Placeholder(words_table(c)), on=list(step.row_id))
+    return DataModel(population)
+
+
 class Catalogue:
     """The features as a table: one row per feature, so small by construction."""
 

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import Agg
 from ..operators import moments
 from ..operators import roles as R
-from .features import Feature, Propositionalizer, Relation, _literal, attach, feature_names, resolve
-from .model import PROPOSITIONALIZATION, DataModel, View
+from .features import Feature, Propositionalizer, Relation, _literal, attach, combine, feature_names, resolve
+from .model import PROPOSITIONALIZATION, DataModel, Placeholder, View
 
 SQUARE, CROSS_ENTROPY = "square", "cross_entropy"
 
@@ -38,18 +38,36 @@ class _Search:
         self.num_features, self.loss, self.n_thresholds = num_features, loss, n_thresholds
         self.n_most_frequent, self.shrinkage = n_most_frequent, shrinkage
 
-    def _relations(self, model: DataModel, view: View, skip_plain: bool = True) -> list[Relation]:
+    subfeatures = ("COUNT", "AVG", "SUM", "MIN", "MAX")
+
+    def _relations(self, model: DataModel, view: View) -> list[Relation]:
+        """Learnt relations; inner tables reach them as enumerated sub-features."""
         base = Propositionalizer(aggregation=(), compare_units=False)
-        base._row_id = model.population.row_id
+        inner = Propositionalizer(aggregation=self.subfeatures, compare_units=False)
+        base._row_id = inner._row_id = model.population.row_id
         out = []
         for join in model.population.joins:
-            if join.is_lookup or (skip_plain and join.relationship == PROPOSITIONALIZATION):
+            if join.is_lookup or join.relationship == PROPOSITIONALIZATION:
                 continue
-            rows, sources = resolve(join.right, view.peripheral, base, (join.right.name,))
+            rows, sources = resolve(join.right, view.peripheral, inner, (join.right.name,))
             probe = base.relation(view.population, join, rows, sources, (join.right.name,))
             out.append(probe)
         return out
 
+    def _fit_plain(self, model: DataModel, view: View) -> None:
+        """Relations marked as plain are enumerated, not learnt."""
+        joins = [j for j in model.population.joins if j.relationship == PROPOSITIONALIZATION]
+        self._plain = DataModel(Placeholder(model.population.name, model.population.row_id, joins)) if joins else None
+        self.plain = Propositionalizer().fit(self._plain, view) if joins else None
+
+    def _with_plain(self, model: DataModel, view: View, learnt: DataFrame) -> DataFrame:
+        if self.plain is None:
+            return learnt
+        return combine([learnt, self.plain.transform(self._plain, view)], model.population.row_id)
+
+    def _plain_features(self) -> list[Feature]:
+        return self.plain.features() if self.plain is not None else []
+
     def conditions(self, relation: Relation) -> list[str]:
         """Thresholds from approximate quantiles, and equality with frequent categories."""
         by_role = R.roles(relation.right)
@@ -85,8 +103,12 @@ class ConditionSearch(_Search):
         self.aggregation = aggregation
 
     def fit(self, model: DataModel, view: View, target: str) -> ConditionSearch:
+        self._fit_plain(model, view)
         rows = _needed(model, view, target)
         self.relations = self._relations(model, view)
+        self.chosen: list[tuple[int, Agg]] = []
+        if not self.relations:
+            return self
         candidates: dict[str, tuple[int, Agg]] = {}
         for i, relation in enumerate(self.relations):
             aggs = self._candidates(relation)
@@ -95,7 +117,6 @@ class ConditionSearch(_Search):
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         names = list(candidates)
         fitted = _Score(rows, names, target, self.loss)
-        self.chosen: list[tuple[int, Agg]] = []
         for _ in range(min(self.num_features, len(names))):
             gradient, var_r = fitted.gradient()
             r = np.abs(moments.pearson(fitted.var, gradient, var_r))
@@ -121,6 +142,9 @@ class ConditionSearch(_Search):
         return out
 
     def features(self) -> list[Feature]:
+        return [*self.learnt_features(), *self._plain_features()]
+
+    def learnt_features(self) -> list[Feature]:
         out = []
         for i, agg in self.chosen:
             relation = self.relations[i]
@@ -134,7 +158,8 @@ class ConditionSearch(_Search):
             aggs = [a for j, a in self.chosen if j == i]
             if aggs:
                 rows, _ = self._attach(model, rows, relation, aggs)
-        return rows.select(*model.population.row_id, *[F.col(f"`{f.name}`") for f in self.features()])
+        learnt = rows.select(*model.population.row_id, *[F.col(f"`{f.name}`") for f in self.learnt_features()])
+        return self._with_plain(model, view, learnt)
 
 
 def _needed(model: DataModel, view: View, target: str) -> DataFrame:
@@ -220,9 +245,12 @@ class BoostedAggregates(_Search):
         return atoms
 
     def fit(self, model: DataModel, view: View, target: str) -> BoostedAggregates:
+        self._fit_plain(model, view)
         rows = _needed(model, view, target)
         self.relations = self._relations(model, view)
         self.trees: list[tuple[int, list[Leaf]]] = []
+        if not self.relations:
+            return self
         base, splits = {}, {}
         conditions = [self.conditions(r) for r in self.relations]
         for i, relation in enumerate(self.relations):
@@ -317,6 +345,9 @@ class BoostedAggregates(_Search):
         return best
 
     def features(self) -> list[Feature]:
+        return [*self.learnt_features(), *self._plain_features()]
+
+    def learnt_features(self) -> list[Feature]:
         out = []
         for number, (i, leaves) in enumerate(self.trees):
             relation = self.relations[i]
@@ -334,7 +365,7 @@ class BoostedAggregates(_Search):
     def transform(self, model: DataModel, view: View) -> DataFrame:
         rows = view.population
         weights: dict[str, Column] = {}
-        names = [f.name for f in self.features()]
+        names = [f.name for f in self.learnt_features()]
         for i, relation in enumerate(self.relations):
             aggs, parts = [], {}
             for number, (j, leaves) in enumerate(self.trees):
@@ -350,7 +381,8 @@ class BoostedAggregates(_Search):
             for number, items in parts.items():
                 terms = [_linear(cols[at : at + len(leaf.weights)], leaf.weights) for at, leaf in items]
                 weights[names[number]] = sum(terms[1:], terms[0])
-        return rows.select(*model.population.row_id, *[weights[n].alias(n) for n in names])
+        learnt = rows.select(*model.population.row_id, *[weights[n].alias(n) for n in names])
+        return self._with_plain(model, view, learnt)
 
 
 def _linear(columns: list[str], weights) -> Column:

@@ -127,16 +127,19 @@ class MultinomialRegression:
 
 
 class IncludeCategorical:
-    """Categorical columns of the population as 0/1 predictor inputs; unseen values are all 0."""
+    """Categorical columns of the population as 0/1 predictor inputs; unseen values are all 0.
 
-    def __init__(self, columns: list[str], max_categories: int = 100):
+    Every category gets a column unless `max_categories` asks for the most frequent ones only.
+    """
+
+    def __init__(self, columns: list[str], max_categories: int | None = None):
         self.columns, self.max_categories = columns, max_categories
 
     def fit(self, df: DataFrame) -> IncludeCategorical:
         self.values = {}
         for c in self.columns:
             counts = df.where(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), F.asc(c))
-            self.values[c] = [r[0] for r in counts.limit(self.max_categories).collect()]
+            self.values[c] = [r[0] for r in (counts.limit(self.max_categories) if self.max_categories else counts).collect()]
         return self
 
     def transform(self, df: DataFrame) -> tuple[DataFrame, list[str]]:

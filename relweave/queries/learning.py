@@ -119,8 +119,8 @@ def _(spark, d):
 
 
 def document_rows(spark, d):
-    """Numeric features of labelled documents, from the whole text."""
-    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    """Numeric features of all documents, from the whole text; labels where there are any."""
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     words = prep.words("text")
     return docs.select(
         "doc_id",
@@ -203,7 +203,7 @@ def _(spark, d):
 @query("e7_one_vs_rest")
 def _(spark, d):
     vectors = table(spark, d, "embeddings")
-    labels = [str(r[0]) for r in vectors.select("label").distinct().orderBy("label").limit(100).collect()]
+    labels = [str(r[0]) for r in vectors.select("label").distinct().orderBy("label").collect()]
     width = vectors.select(F.max(F.size("embedding"))).first()[0]
     cols = {f"e{i}": F.col("embedding")[i].cast("double") for i in range(width)}
     rows = R.make_target_columns(vectors.select("vec_id", "label", F.col("label").cast("string").alias("actual"), *[c.alias(n) for n, c in cols.items()]), "label")
