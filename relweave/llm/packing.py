@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Store
-from .common import groups, kept, streamed
+from .common import groups, kept, ranges, streamed
 
 TIERS = (512, 1024, 2048, 4096)
 STEP = 32_768
 HELD = 1_000_000
 END = 2
-CHUNKS = 300_000
+CHUNKS = 400_000
 
 
 class Tokens:
@@ -74,16 +74,16 @@ class Tokens:
         split = [self.plain(c) for c in chunks]
         flat = [w for ws in split if ws for w in ws]
         ids, counts = self.words.look_up(flat, self.encode_words) if flat else (np.empty(0, np.int32), np.empty(0, np.int64))
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        each, at = [], 0
-        rest = iter(self.whole.encode_batch_fast([c for c, ws in zip(chunks, split, strict=True) if not ws], add_special_tokens=False))
-        for ws in split:
-            if ws:
-                each.append(ids[ends[at] : ends[at + len(ws)]])
-                at += len(ws)
-            else:
-                each.append(np.array(next(rest).ids, dtype=np.int64))
-        return np.concatenate(each), np.array([len(x) for x in each], dtype=np.int64)
+        rest = [e.ids for e in self.whole.encode_batch_fast([c for c, ws in zip(chunks, split, strict=True) if not ws], add_special_tokens=False)]
+        known = np.array([bool(ws) for ws in split])
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum([len(ws) for ws in split if ws])]).astype(np.int64)]
+        lengths = np.empty(len(chunks), dtype=np.int64)
+        lengths[known], lengths[~known] = np.diff(ends), [len(x) for x in rest]
+        starts = np.cumsum(lengths) - lengths
+        out = np.empty(int(lengths.sum()), dtype=np.int64)
+        out[ranges(starts[known], lengths[known])] = ids
+        out[ranges(starts[~known], lengths[~known])] = [i for x in rest for i in x]
+        return out, lengths
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lots = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
