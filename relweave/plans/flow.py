@@ -73,6 +73,10 @@ class Pipeline:
                     population = done
         return View(population, tables)
 
+    def prepared(self, view: View) -> DataFrame:
+        """The population with its lookups folded in, before anything is fitted."""
+        return type(self)(self.model)._prepare(view, [], fit=True).population
+
     def _own(self, df: DataFrame, targets: list[str]) -> list[str]:
         return [c for c in R.roles(df)[R.NUMERICAL] if c not in targets]
 

@@ -7,6 +7,7 @@ from ..functions.timecols import days, hours, minutes
 from ..operators import grouping, interval, ranks, reshape, windows
 from ..operators import roles as R
 from ..plans.features import Propositionalizer, fold_lookup
+from ..plans.flow import Pipeline
 from ..plans.model import MANY_TO_ONE, ONE_TO_ONE, PROPOSITIONALIZATION, DataModel, Join, Placeholder, TimeSeries, View
 from ..sources.tables import load_dataset
 from .registry import query, rounded, rounded_sql, table
@@ -324,3 +325,38 @@ def _(spark, d):
 def _(spark, d):
     aggs = [Agg("COUNT", name="n"), Agg("AVG", "value", name="mean"), Agg("MAX", "value", name="top")]
     return rounded(windows.roll_rows(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], ["event_id"], aggs, 15))
+
+
+@query(
+    "j12_nested_time",
+    """WITH h AS (SELECT a.o_orderkey, a.o_custkey, count(b.o_orderkey) AS n FROM orders a LEFT JOIN orders b ON a.o_custkey = b.o_custkey
+      AND b.o_orderdate + INTERVAL 1 DAY <= a.o_orderdate AND b.o_orderdate + INTERVAL 91 DAY > a.o_orderdate GROUP BY a.o_orderkey, a.o_custkey)
+    SELECT c_custkey, CAST(count(h.o_orderkey) AS BIGINT) AS orders, CAST(sum(n) AS DOUBLE) AS prior FROM customer LEFT JOIN h ON h.o_custkey = c_custkey GROUP BY c_custkey""",
+)
+def _(spark, d):
+    # a time bound on an inner join: each order looks back 90 days, customers add up what their orders saw
+    data = load_dataset(spark, d, ["customer", "orders"])
+    slim = data["orders"].select("o_orderkey", "o_custkey", "o_orderdate")
+    dm = DataModel(Placeholder("population", ("c_custkey",))).add(orders=Placeholder("orders", ("o_orderkey",)), history=Placeholder("history"))
+    dm.population.join(dm.orders, on=("c_custkey", "o_custkey"))
+    dm.orders.join(dm.history, on="o_custkey", time_stamps="o_orderdate", horizon=days(1), memory=days(90))
+    view = View(data["customer"].select("c_custkey"), {"orders": slim, "history": slim})
+    flat = Propositionalizer(("COUNT", "SUM")).fit(dm, view).transform(dm, view)
+    return flat.select("c_custkey", F.col("orders__count").cast("long").alias("orders"), F.col("orders__sum__orders__history__count").cast("double").alias("prior"))
+
+
+@query(
+    "j12_lookup_chain",
+    """WITH o AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
+    SELECT o_orderkey, c_mktsegment AS segment, CAST(n AS DOUBLE) AS orders_of_customer FROM orders
+    LEFT JOIN customer ON c_custkey = orders.o_custkey LEFT JOIN o ON o.o_custkey = c_custkey""",
+)
+def _(spark, d):
+    # a population lookup that has a join of its own
+    data = load_dataset(spark, d, ["customer", "orders"])
+    dm = DataModel(Placeholder("population", ("o_orderkey",))).add("customer", "orders")
+    dm.population.join(dm.customer, on=("o_custkey", "c_custkey"), relationship=MANY_TO_ONE)
+    dm.customer.join(dm.orders, on=("c_custkey", "o_custkey"))
+    view = View(data["orders"].select("o_orderkey", "o_custkey"), {"customer": data["customer"].select("c_custkey", "c_mktsegment"), "orders": data["orders"].select("o_custkey")})
+    rows = Pipeline(dm).prepared(view)
+    return rows.select("o_orderkey", F.col("customer__c_mktsegment").alias("segment"), F.col("customer__customer__orders__count").cast("double").alias("orders_of_customer"))

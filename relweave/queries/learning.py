@@ -80,6 +80,50 @@ def _(spark, d):
     return learner.transform(dm, v["full"]).select("o_orderkey", (F.round(learner.features()[0].name, 3) + 0.0).alias("feature"))
 
 
+def planted_customers(spark, d):
+    """Customers with the number of all their line items, two tables away, as target."""
+    data = load_dataset(spark, d, ["customer", "orders", "lineitem"])
+    items, orders = data["lineitem"].select("l_orderkey", "l_quantity"), data["orders"].select("o_orderkey", "o_custkey")
+    total = items.join(orders, items.l_orderkey == orders.o_orderkey).groupBy("o_custkey").agg(F.count(F.lit(1)).cast("double").alias("t"))
+    rows = data["customer"].select("c_custkey").join(total, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.coalesce("t", F.lit(0.0)).alias("y"))
+    dm = DataModel(Placeholder("population", ("c_custkey",))).add("orders", "lineitem")
+    dm.population.join(dm.orders, on=("c_custkey", "o_custkey"))
+    dm.orders.join(dm.lineitem, on=("o_orderkey", "l_orderkey"))
+    return dm, View(R.set_role(rows, "y", R.TARGET), {"orders": orders, "lineitem": items})
+
+
+SNOWFLAKE = """SELECT c_custkey, CAST(count(l_orderkey) AS DOUBLE) AS feature FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+    LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY c_custkey"""
+
+
+@query("f4_snowflake", SNOWFLAKE)
+def _(spark, d):
+    dm, view = planted_customers(spark, d)
+    learner = learners.ConditionSearch(num_features=1, aggregation=("SUM", "COUNT"), n_thresholds=3).fit(dm, view, "y")
+    return learner.transform(dm, view).select("c_custkey", F.col(learner.features()[0].name).cast("double").alias("feature"))
+
+
+@query("f5_snowflake", SNOWFLAKE)
+def _(spark, d):
+    # the weights have to be 1 on the inner count and 0 elsewhere
+    dm, view = planted_customers(spark, d)
+    learner = learners.BoostedAggregates(num_features=1, linear=True, n_thresholds=3).fit(dm, view, "y")
+    return learner.transform(dm, view).select("c_custkey", (F.round(learner.features()[0].name, 3) + 0.0).alias("feature"))
+
+
+@query("j14_learned_mix", PLANTED.format(value=f"{PLANTED_SUM} AS learnt, CAST(count(l_orderkey) AS BIGINT) AS plain, o_totalprice").replace(" AS feature", "").replace("GROUP BY o_orderkey", "GROUP BY o_orderkey, o_totalprice"))
+def _(spark, d):
+    # one relation is learnt, the same table once more is only enumerated
+    dm, orders, tables = order_model(spark, d)
+    dm.add(plain=Placeholder("plain"))
+    dm.population.join(dm.plain, on=("o_orderkey", "l_orderkey"), relationship="propositionalization")
+    tables = {**tables, "plain": tables["lineitem"]}
+    v = views(orders, tables)
+    learner = learners.ConditionSearch(num_features=1, aggregation=("SUM", "COUNT"), n_thresholds=9).fit(dm, v["train"], "y")
+    found = learner.transform(dm, v["full"]).join(orders.select("o_orderkey", "o_totalprice"), "o_orderkey")
+    return found.select("o_orderkey", F.col(learner.features()[0].name).alias("learnt"), F.col("plain__count").cast("long").alias("plain"), "o_totalprice")
+
+
 @query("f7_cross_entropy")
 def _(spark, d):
     dm, orders, tables = order_model(spark, d, "binary")

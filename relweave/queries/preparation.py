@@ -6,6 +6,7 @@ from ..functions import timecols
 from ..operators import prep, splits
 from ..operators import roles as R
 from ..plans.features import Propositionalizer
+from ..plans.flow import Pipeline
 from ..plans.model import MANY_TO_ONE, Container, DataModel, Join, Placeholder, StarSchema, View
 from ..plans.predict import IncludeCategorical
 from ..sources.tables import load_dataset
@@ -178,6 +179,25 @@ def _(spark, d):
     return per_doc.groupBy("word").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("docs"))
 
 
+@query(
+    "r4_pipeline_words",
+    """WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM documents),
+    k AS (SELECT doc_id, count(*) AS n, count(DISTINCT word) AS n_distinct FROM w WHERE word <> '' GROUP BY doc_id)
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS words, CAST(coalesce(n_distinct, 0) AS BIGINT) AS n_distinct FROM documents LEFT JOIN k USING (doc_id)""",
+)
+def _(spark, d):
+    # the word table is joined back to its rows and aggregated by the learner
+    documents = load_dataset(spark, d, ["documents"])["documents"].select("doc_id", "text", "n_chars")
+    documents = documents.withMetadata("text", {"role": R.TEXT}).withMetadata("n_chars", {"role": R.TARGET})
+    pipe = Pipeline(
+        DataModel(Placeholder("population", ("doc_id",))), preprocessors=[prep.TextFieldSplitter(["doc_id"])],
+        feature_learners=[Propositionalizer(("COUNT", "COUNT_DISTINCT"))],
+    )
+    view = View(documents, {})
+    flat = pipe.fit(view, ["n_chars"]).transform(view)
+    return flat.select("doc_id", F.col("words_of_text__count").cast("long").alias("words"), F.col("words_of_text__count_distinct__word").cast("long").alias("n_distinct"))
+
+
 @query(
     "r5_imputation",
     rounded_sql(
