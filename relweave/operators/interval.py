@@ -12,11 +12,11 @@ ascending and descending order give head and tail in linear time, and the two ha
 merge by row id. Work per partition is bounded by one key and one memory length; a
 block that is still too large is cut into segments whose totals are carried over.
 
-Quantiles, modes and distinct counts do not merge. For them left rows and right rows
-meet in (key, block) partitions, where right rows also visit the next block, and a
-sliding frame gathers the values; if a column has few distinct values, their counts
-merge and replace the frame. When the data show that windows are short, the
-sliding frame serves all aggregates, as it needs one shuffle only.
+Quantiles, modes and distinct counts do not merge. If a column has few distinct values, their
+counts do; otherwise quantiles are refined over ranges of values, and windows without a
+memory use running numbers per value (see holistic.py). What is left, and everything when the
+data show that windows are short, is gathered by a sliding frame in (key, block)
+partitions, where right rows also visit the next block; it needs one shuffle only.
 
 The statements are plain Spark SQL, so the same text can be saved as a script.
 """
@@ -35,7 +35,7 @@ from . import skew, value_counts
 
 
 class NotDecomposable(ValueError):
-    """An exact holistic aggregate over an unbounded window cannot be split."""
+    """One sliding frame cannot hold an unbounded window."""
 
 
 @dataclass(frozen=True)
@@ -53,6 +53,7 @@ class IntervalJoin:
     unit: int = 1_000_000
     centers: dict[str, float] = field(default_factory=dict)
     origin: int = 0
+    span: float = 0.0  # units between the first and the last row a window may hold
 
     def __post_init__(self):
         if self.memory is not None and self.memory <= 0:
@@ -285,6 +286,14 @@ def _carry_sql(join: IntervalJoin, states: _States, part: str, distance: str) ->
     )
 
 
+HALF_LIVES = 900  # a double holds weights up to 2^1023
+
+
+def too_long(agg: Agg, join: IntervalJoin) -> bool:
+    """Whether weights relative to the start of a block could overflow."""
+    return agg.func == "EWMA" and join.span / agg.param > HALF_LIVES
+
+
 def _bound(ticks: int) -> str:
     return f"{ticks} PRECEDING" if ticks >= 0 else f"{-ticks} FOLLOWING"
 
@@ -397,7 +406,7 @@ def profile(left: DataFrame, right: DataFrame, join: IntervalJoin) -> Profile:
 def is_small(p: Profile, join: IntervalJoin, aggs) -> bool:
     """Sliding frames re-read their rows: good for short windows, with one shuffle instead of two."""
     reach = (join.memory + abs(join.horizon)) * WIDE_FACTOR / join.unit
-    if any(a.func == "EWMA" and reach / a.param > 900 for a in aggs):
+    if any(a.func == "EWMA" and reach / a.param > HALF_LIVES for a in aggs):
         return False
     return p.largest <= SMALL_WINDOW.largest and p.typical <= SMALL_WINDOW.typical
 
@@ -410,26 +419,21 @@ def hot_cuts(left: DataFrame, right: DataFrame, join: IntervalJoin) -> DataFrame
     return skew.segment_bounds(groups, cols, "o")
 
 
-def first_seen(right: DataFrame, join: IntervalJoin, agg: Agg) -> DataFrame:
-    """First row of each distinct value per key: as-of COUNT DISTINCT counts these rows."""
-    keys = [F.expr(k).alias(f"k{i}") for i, k in enumerate(join.right_keys)]
-    rows = right.select(*keys, F.expr(join.right_order).alias("o"), F.expr(agg.value_sql).alias("v"))
-    rows = rows.where(F.col("v").isNotNull() & F.col("o").isNotNull())
-    return rows.groupBy(*[f"k{i}" for i in range(len(keys))], "v").agg(F.min("o").alias("o"))
-
-
 def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, form: str | None = None) -> DataFrame:
     """Row id and one column per aggregate; left rows without partner get NULL, counts 0.
 
     `form` is "sliding" or "blocks"; by default the profile of the data decides.
     """
+    from . import holistic as ordered
+
     spark = left.sparkSession
-    mergeable = [a for a in join.aggs if a.mergeable]
+    faded = [a for a in join.aggs if too_long(a, join)]
+    mergeable = [a for a in join.aggs if a.mergeable and a not in faded]
     holistic = [a for a in join.aggs if not a.mergeable]
     both = {"left_rows": left, "right_rows": right}
     self_join = _same_side(left, right, join)
     largest = None
-    if join.memory is not None and form is None:
+    if join.memory is not None and form is None and not faded:
         found = profile(left, right, join)
         largest = found.largest
         form = "sliding" if is_small(found, join, join.aggs) else "blocks"
@@ -445,7 +449,7 @@ def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, fo
     counted = [a for a in holistic if a.value_sql in known]
     holistic = [a for a in holistic if a.value_sql not in known]
     running = [*mergeable, *[c for _, aggs in known.values() for c in aggs]]
-    parts = []
+    parts = [ordered.decayed(left, right, join, a) for a in faded]
     if running:
         fits = largest is not None and largest <= skew.hot_rows(spark)
         cuts = None if fits else hot_cuts(left, right, join)
@@ -460,15 +464,9 @@ def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, fo
     elif counted:  # no value at all on the right side
         derived = [value_counts.final(a, [], []).alias(a.alias) for a in counted]
         parts.append(left.select(*[F.col(c) for c in join.row_id], *derived))
-    if holistic and join.memory is None:
-        distinct = [a for a in holistic if a.func == "COUNT_DISTINCT"]
-        holistic = [a for a in holistic if a.func != "COUNT_DISTINCT"]
-        for agg in distinct:
-            seen = IntervalJoin(
-                join.left_keys, tuple(f"k{i}" for i in range(len(join.right_keys))), join.left_order, "o",
-                join.row_id, (Agg("COUNT", name=agg.alias),), join.horizon, None, join.unit,
-            )
-            parts.append(interval_aggregate(left, first_seen(right, join, agg), seen))
+    refined = [a for a in holistic if ordered.splits(a, join)]
+    holistic = [a for a in holistic if a not in refined]
+    parts += ordered.aggregate(left, right, join, refined)
     if holistic:
         parts.append(_run(spark, sliding_sql(join, holistic, self_join), {"right_rows": right} if self_join else both))
     out = parts[0]
@@ -514,16 +512,14 @@ def plan_interval(
         a.value_sql for a in aggs if a.mergeable and _CENTERED & set(MERGEABLE[a.func].states) and a.func not in ("AVG", "SUM")
     }
     moving = any(a.mergeable and MERGEABLE[a.func].needs_now for a in aggs)
-    origin, centers = 0, {}
+    origin, centers, span = 0, {}, (memory or 0) / unit
     if powers or (moving and memory is None):
         exprs = [F.expr(f"avg(CAST({x} AS DOUBLE))") for x in powers]
         row = right.agg(F.expr(f"min({right_order})"), F.expr(f"max({right_order})"), *exprs).first()
         origin = row[0] or 0
         centers = {x: round(v, 6) for x, v in zip(powers, row[2:]) if v is not None and v == v and abs(v) < 1e300}
-        span = (memory or ((row[1] or 0) - origin)) / unit
-        for a in aggs:
-            if a.func == "EWMA" and span / a.param > 900:
-                raise ValueError(f"{a.describe()}: the window is longer than 900 half-lives")
+        if memory is None:
+            span = ((row[1] or 0) - origin) / unit
     # both sums use the same centre wherever they share a column
     return IntervalJoin(
         left_keys=tuple(f"`{k}`" for k, _ in on),
@@ -537,6 +533,7 @@ def plan_interval(
         unit=unit,
         centers=centers,
         origin=origin,
+        span=span,
     )
 
 

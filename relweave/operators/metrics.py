@@ -54,7 +54,7 @@ def cumulate(counts: DataFrame, order: str, cols: list[str], descending: bool =
     running = pieces.withColumns({f"cum_{c}": F.sum(c).over(local) for c in cols})
     joined = running.join(offsets, "__p0")
     joined = joined.withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"__b_{c}") for c in cols})
-    return joined.drop("__p0", "__p1", *[f"__b_{c}" for c in cols])
+    return joined.drop("__p0", *[f"__b_{c}" for c in cols])
 
 
 def auc(df: DataFrame, y: str, p: str) -> DataFrame:

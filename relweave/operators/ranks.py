@@ -1,75 +1,112 @@
 """Row numbers without a single-partition window.
 
-Rows are cut into ordered pieces at constants learnt once (approximate quantiles of
-the order columns), numbered inside each piece, and shifted by the piece's offset.
-The pieces depend on values only, so a recomputed task numbers its rows the same.
+Rows are cut into ordered pieces at constants learnt once (whole rows of the order
+columns, taken from a sample), numbered inside each piece, and shifted by the piece's
+offset. The pieces depend on values only, so a recomputed task numbers its rows the same.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import plan_bytes
 from . import skew
 
 PIECE_BYTES = 64 * 2**20
-MIN_PIECES, MAX_PIECES = 8, 1024
-
-
-def _proxy(df: DataFrame, name: str) -> Column:
-    """A number that never decreases when the value increases."""
-    dtype = df.schema[name].dataType
-    c = F.col(f"`{name}`")
-    if isinstance(dtype, T.StringType):
-        prefix = F.hex(F.substring(F.encode(c, "utf-8"), 1, 7))
-        return F.conv(F.rpad(prefix, 14, "0"), 16, 10).cast("long")
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("long")
-    return c.cast("double") if isinstance(dtype, (T.FractionalType, T.DecimalType)) else c.cast("long")
-
-
-def ordered_pieces(df: DataFrame, order: list[str]) -> DataFrame:
-    """Add `__p0`, `__p1`: piece numbers that sort like the order columns.
-
-    A value that fills a whole quantile becomes a piece of its own (odd number) and
-    is cut further by the second order column, so ties do not pile up either.
-    """
-    n = max(MIN_PIECES, min(MAX_PIECES, plan_bytes(df) // PIECE_BYTES))
-    grid = [i / n for i in range(1, n)]
-    out = df
-    for i, name in enumerate(order[:2]):
-        proxy = _proxy(df, name)
-        cuts = df.agg(F.percentile_approx(proxy, grid, 20000)).first()[0] or []
-        points = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-        x = proxy if i == 0 else F.when(F.col("__p0") % 2 == 1, proxy)
-        below = F.array_size(F.filter(points, lambda c: c < x))
-        piece = F.coalesce(2 * below + F.array_contains(points, x).cast("int"), F.lit(0)) if cuts else F.lit(0)
-        out = out.withColumn(f"__p{i}", piece)
-    if len(order) == 1:
-        out = out.withColumn("__p1", F.lit(0))
-    return out
+MIN_PIECES = 8
+WIDTH = 1024
+PER_PIECE = 64
 
 
-def with_row_id(df: DataFrame, order: list[str], name: str = "rowid", descending: bool = False) -> DataFrame:
-    """Number rows 0, 1, 2, ... in the order of the columns (ascending; nulls first).
+def _below(cuts: Column, row: Column, size: int) -> Column:
+    """How many of the sorted cuts lie below a row, by bisection."""
+    turns = F.sequence(F.lit(1), F.lit(max(1, size.bit_length())))
+    start = F.struct(F.lit(0).alias("lo"), F.coalesce(F.array_size(cuts), F.lit(0)).alias("hi"))
+
+    def halve(s: Column, _turn: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        open_ = s["lo"] < s["hi"]
+        below = F.coalesce(open_ & (F.get(cuts, mid) < row), F.lit(False))
+        lo = F.when(below, mid + 1).otherwise(s["lo"])
+        hi = F.when(open_ & ~below, mid).otherwise(s["hi"])
+        return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    return F.aggregate(turns, start, halve, lambda s: s["lo"])
+
+
+def _spaced(rows: Column, n: int) -> Column:
+    """n - 1 evenly spaced elements of a sorted array, without repeats."""
+    size = F.array_size(rows)
+    picks = F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get(rows, F.floor(i * size / n).cast("int")))
+    return F.array_distinct(F.filter(picks, lambda c: c.isNotNull()))
+
 
-    The columns must order the rows completely. At most 4 * 1024 * 1024 pieces exist
-    in theory and about 1024 in practice; their counts form the only global window.
+def _constant(df: DataFrame) -> DataFrame:
+    """The rows of a small result as a table of constants."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def _other_place(n: int) -> Column:
+    """A second, independent place of a sampled row."""
+    return F.pmod(F.xxhash64(*[F.col(f"__row.f{i}") for i in range(n)], F.lit("head")), F.lit(2**31))
+
+
+def ordered_pieces(df: DataFrame, order: list[str], pieces: int | None = None, width: int = WIDTH) -> DataFrame:
+    """Add `__p0`: piece numbers that sort like the order columns (ascending, nulls first).
+
+    Cuts are whole tuples of the order columns, so equal first columns, equal beginnings
+    of texts and nulls are cut like everything else. The number of pieces follows the
+    size of the input. Beyond `width` pieces each piece is cut once more; at most
+    width + width * width cuts of one sample of `PER_PIECE` rows a piece are broadcast.
+    """
+    n = max(MIN_PIECES, plan_bytes(df) // PIECE_BYTES) if pieces is None else pieces
+    n = max(2, min(n, width * width))
+    first, second = min(n, width), ceil(n / width) if n > width else 1
+    row = F.struct(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(order)])
+    place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in order]), F.lit(2**31))
+    share = min(1.0, PER_PIECE * n / max(1, df.count()))
+    sample = df.where(place < F.lit(ceil(share * 2**31))).select(row.alias("__row"))
+
+    def cuts(rows: DataFrame, parts: int, name: str, *keys: str) -> DataFrame:
+        listed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list("__row")).alias("__rows"))
+        return listed.select(*keys, _spaced(F.col("__rows"), parts).alias(name))
+
+    head = sample.where(_other_place(len(order)) < F.lit(ceil(2**31 / second))) if second > 1 else sample
+    upper = _constant(cuts(head, first, "__cuts"))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    out = df.crossJoin(F.broadcast(upper)).select(*columns, _below(F.col("__cuts"), row, first).alias("__p0"))
+    if second == 1:
+        return out
+    placed = sample.crossJoin(F.broadcast(upper)).select("__row", _below(F.col("__cuts"), F.col("__row"), first).alias("__p0"))
+    lower = _constant(cuts(placed, second, "__more", "__p0")).withColumnRenamed("__p0", "__up")
+    joined = out.join(F.broadcast(lower), F.col("__p0") == F.col("__up"), "left")
+    piece = F.col("__p0").cast("long") * second + _below(F.col("__more"), row, second)
+    return joined.select(*columns, piece.alias("__p0"))
+
+
+def running_total(df: DataFrame, order: list[str], weight: str | None, name: str) -> DataFrame:
+    """Add the sum of `weight` (None: one a row) over all rows before a row in the order (ascending; nulls first).
+
+    The columns must order the rows completely. The counts of the pieces form the only
+    global window.
     """
     pieces = ordered_pieces(df, order)
-    counts = pieces.groupBy("__p0", "__p1").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__p0", "__p1").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__p0", "__p1", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    local = Window.partitionBy("__p0", "__p1").orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order])
-    numbered = pieces.withColumn("__rn", F.row_number().over(local) - 1)
-    out = numbered.join(offsets, ["__p0", "__p1"]).withColumn(name, F.col("__off") + F.col("__rn"))
-    out = out.drop("__p0", "__p1", "__off", "__rn")
+    unit = F.lit(1).cast("long") if weight is None else F.col(f"`{weight}`").cast("long")
+    sizes = pieces.groupBy("__p0").agg(F.sum(unit).alias("__n"))
+    before = Window.orderBy("__p0").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__p0", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    local = Window.partitionBy("__p0").orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in order])
+    inside = F.row_number().over(local) - 1 if weight is None else F.coalesce(F.sum(unit).over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = pieces.withColumn("__rn", inside).join(offsets, ["__p0"])
+    return out.withColumn(name, F.col("__off") + F.col("__rn")).drop("__p0", "__off", "__rn")
+
+
+def with_row_id(df: DataFrame, order: list[str], name: str = "rowid", descending: bool = False) -> DataFrame:
+    """Number rows 0, 1, 2, ... in the order of the columns (ascending; nulls first)."""
+    out = running_total(df, order, None, name)
     if descending:
         total = df.count()
         out = out.withColumn(name, F.lit(total - 1) - F.col(name))

@@ -91,12 +91,10 @@ def subroles(field: T.StructField) -> list[str]:
     return list((field.metadata or {}).get("subroles", []))
 
 
-def make_target_columns(df: DataFrame, col: str, limit: int = 1000) -> DataFrame:
-    """One 0/1 target per class. The classes become columns, so there must be few."""
-    labels = [r[0] for r in df.select(col).dropna().distinct().limit(limit + 1).collect()]
-    if len(labels) > limit:
-        raise ValueError(f"{col} has more than {limit} classes")
-    new = {f"{col}={v}": (F.col(col) == F.lit(v)).cast("double") for v in sorted(labels)}
+def make_target_columns(df: DataFrame, col: str) -> DataFrame:
+    """One 0/1 target per class, in one projection. The classes are columns, so their names pass through the driver."""
+    labels = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+    new = {f"{col}={v}": (F.col(col) == F.lit(v)).cast("double") for v in labels}
     return _annotate(df.withColumns(new).drop(col), list(new), role=TARGET)
 
 

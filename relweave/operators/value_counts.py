@@ -7,6 +7,8 @@ follow exactly from those, so long windows and hot keys need no sliding frame.
 
 from __future__ import annotations
 
+from math import isfinite
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +23,8 @@ def few_values(df: DataFrame, value: str) -> list | None:
     column = df.select(F.expr(value).alias("v"))
     if not isinstance(column.schema["v"].dataType, (T.StringType, T.IntegralType, T.DoubleType, T.BooleanType)):
         return None
-    found = column.dropna().distinct().limit(FEW + 1).collect()
-    return None if len(found) > FEW else sorted(r[0] for r in found)
+    found = column.where("v IS NOT NULL").distinct().limit(FEW + 1).collect()
+    return None if len(found) > FEW else sorted((r[0] for r in found), key=lambda v: (v != v, v))
 
 
 def literal_sql(v) -> str:
@@ -30,6 +32,8 @@ def literal_sql(v) -> str:
         return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
     if isinstance(v, bool):
         return str(v).upper()
+    if isinstance(v, float) and not isfinite(v):
+        return f"double('{v!r}')"
     return f"{v!r}D" if isinstance(v, float) else str(v)
 
 
@@ -79,7 +83,7 @@ def final(agg: Agg, values: list, counts: list[Column]) -> Column:
         ordered = counts[::-1] if agg.func == "NUM_MAX" else counts
         return F.coalesce(*[F.when(c > 0, c) for c in ordered], F.lit(0).cast("bigint"))
     if agg.func in ("COUNT_ABOVE_MEAN", "COUNT_BELOW_MEAN"):
-        mean = F.try_divide(_sum([F.lit(float(v)) * c for v, c in zip(values, counts)]), n)
+        mean = F.try_divide(_sum([F.when(c > 0, F.lit(float(v)) * c).otherwise(0.0) for v, c in zip(values, counts)]), n)
         sides = [F.lit(float(v)) > mean if agg.func == "COUNT_ABOVE_MEAN" else F.lit(float(v)) < mean for v in values]
         return _sum([F.when(side, c).otherwise(0).cast("bigint") for side, c in zip(sides, counts)])
     p = 0.5 if agg.func == "MEDIAN" else agg.param

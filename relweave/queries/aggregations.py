@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import Agg
 from ..functions.stats import line_fit
 from ..functions.timecols import days, order_sql
-from ..operators import grouping, windows
+from ..operators import grouping, ranks, windows
 from ..plans.series import minimal_aggs
 from .registry import query, rounded, rounded_sql, table
 
@@ -118,6 +118,43 @@ def _(spark, d):
     return windows.window_agg(table(spark, d, "orders"), ["o_custkey"], "o_orderdate", ["o_orderkey"], aggs)
 
 
+AS_OF = """SELECT a.o_orderkey, {x} AS x FROM orders a LEFT JOIN orders b
+    ON a.o_custkey = b.o_custkey AND b.o_orderdate <= a.o_orderdate GROUP BY a.o_orderkey"""
+
+
+def as_of(spark, d, agg):
+    return rounded(windows.window_agg(table(spark, d, "orders"), ["o_custkey"], "o_orderdate", ["o_orderkey"], [agg]))
+
+
+@query("a5_median_as_of", rounded_sql(AS_OF.format(x="median(b.o_totalprice)"), "o_orderkey", "x"))
+def _(spark, d):
+    return as_of(spark, d, Agg("MEDIAN", "o_totalprice", name="x"))
+
+
+@query("a11_q05_as_of", rounded_sql(AS_OF.format(x="quantile_cont(b.o_totalprice, 0.05)"), "o_orderkey", "x"))
+def _(spark, d):
+    return as_of(spark, d, Agg("QUANTILE", "o_totalprice", name="x", param=0.05))
+
+
+@query(
+    "a18_mode_as_of",
+    """WITH p AS (SELECT a.o_orderkey, date_part('dayofyear', b.o_orderdate) AS v, count(*) AS k FROM orders a JOIN orders b
+    ON a.o_custkey = b.o_custkey AND b.o_orderdate <= a.o_orderdate GROUP BY 1, 2)
+    SELECT o_orderkey, CAST((array_agg(v ORDER BY k DESC, v))[1] AS INTEGER) AS x FROM p GROUP BY o_orderkey""",
+)
+def _(spark, d):
+    return as_of(spark, d, Agg("MODE", "dayofyear(o_orderdate)", name="x"))
+
+
+HALF_DAY = "pow(2, (epoch_us(b.o_orderdate) - epoch_us(a.o_orderdate)) / 1000000.0 / 43200.0)"
+
+
+@query("a10_ewma_as_of", rounded_sql(AS_OF.format(x=f"sum(b.o_totalprice * {HALF_DAY}) / sum({HALF_DAY})"), "o_orderkey", "x"))
+def _(spark, d):
+    # half a day against years of orders: thousands of half-lives
+    return as_of(spark, d, Agg("EWMA", "o_totalprice", name="x", param=43200.0))
+
+
 MODE_SQL = """SELECT {id}, (array_agg(event_type ORDER BY k DESC, event_type))[1] AS x FROM
 ({inner}) AS q GROUP BY {id}"""
 
@@ -241,9 +278,10 @@ def _(spark, d):
 
 TREND_SQL = """WITH h AS (SELECT o_custkey, o_totalprice AS y,
   (epoch_us(o_orderdate) - epoch_us(min(o_orderdate) OVER (PARTITION BY o_custkey))) / 3600000000.0 AS x FROM orders),
-f AS (SELECT o_custkey, count(*) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, corr(x, y) AS r,
-  CASE WHEN count(*) > 2 THEN sqrt((1 - corr(x, y) * corr(x, y)) * regr_syy(y, x) / regr_sxx(y, x) / (count(*) - 2)) ELSE 0 END AS stderr
-  FROM h GROUP BY o_custkey HAVING count(*) > 2)
+f AS (SELECT o_custkey, count(*) AS n, CASE WHEN count(*) > 1 THEN regr_slope(y, x) END AS slope,
+  CASE WHEN count(*) > 1 THEN regr_intercept(y, x) END AS intercept, CASE WHEN count(*) > 1 THEN corr(x, y) END AS r,
+  CASE WHEN count(*) > 2 THEN sqrt((1 - corr(x, y) * corr(x, y)) * regr_syy(y, x) / regr_sxx(y, x) / (count(*) - 2)) WHEN count(*) = 2 THEN 0 END AS stderr
+  FROM h GROUP BY o_custkey)
 SELECT o_custkey, n, slope, intercept, r, stderr FROM f"""
 
 
@@ -261,31 +299,35 @@ def _(spark, d):
     n, zero = F.col("n"), F.lit(0.0)
     fit = line_fit(n, zero, zero, n * F.col("vx"), n * F.col("c"), n * F.col("vy"))
     intercept = F.col("my") - fit["slope"] * F.col("mx")
-    out = s.where("n > 2").select("o_custkey", "n", fit["slope"].alias("slope"), intercept.alias("intercept"), fit["r"].alias("r"), fit["stderr"].alias("stderr"))
+    out = s.select("o_custkey", "n", fit["slope"].alias("slope"), intercept.alias("intercept"), fit["r"].alias("r"), fit["stderr"].alias("stderr"))
     return rounded(out)
 
 
-# the survival function of t with 1, 2, 3 and 4 degrees of freedom in closed form
-P_SQL = """WITH g AS (SELECT user_id, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) // 6 AS blk, value AS y,
-  row_number() OVER (PARTITION BY user_id, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 6 ORDER BY ts) AS x FROM events),
-f AS (SELECT user_id, blk, count(*) AS n, corr(x, y) AS r FROM g GROUP BY user_id, blk HAVING count(*) BETWEEN 3 AND 6),
-t AS (SELECT user_id, blk, n, abs(r) * sqrt((n - 2) / ((1 - r) * (1 + r))) AS t FROM f)
-SELECT user_id, blk, round(CASE n WHEN 3 THEN 1 - 2 / pi() * atan(t) WHEN 4 THEN 1 - t / sqrt(2 + t * t)
-  WHEN 5 THEN 1 - 2 / pi() * (atan(t / sqrt(3)) + t / sqrt(3) / (1 + t * t / 3))
-  ELSE 1 - t / sqrt(4 + t * t) * (1 + 2 / (4 + t * t)) END, 6) + 0.0 AS p FROM t"""
+# the finite series of the t distribution, summed term by term: cosines of even or odd powers up to n - 4
+P_SQL = """WITH RECURSIVE g AS (SELECT user_id, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) // 6 AS blk, value AS y,
+  row_number() OVER (PARTITION BY user_id, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 6 ORDER BY ts, event_id) AS x FROM events),
+f AS (SELECT user_id, blk, count(*) AS n, corr(x, y) AS r, var_pop(y) AS vy FROM g GROUP BY user_id, blk),
+t AS (SELECT *, atan(abs(r) / sqrt((1 - r) * (1 + r))) AS a FROM f WHERE n > 2 AND vy > 0 AND abs(r) < 1),
+s AS (SELECT user_id, blk, n, a, 1.0::DOUBLE AS term, 1.0::DOUBLE AS total, CAST(n % 2 AS BIGINT) AS i FROM t
+  UNION ALL SELECT user_id, blk, n, a, term * (i + 1) / (i + 2) * cos(a) * cos(a), total + term * (i + 1) / (i + 2) * cos(a) * cos(a), i + 2
+  FROM s WHERE i + 2 <= n - 4),
+e AS (SELECT user_id, blk, n, a, arg_max(total, i) AS total FROM s GROUP BY user_id, blk, n, a),
+p AS (SELECT user_id, blk, CASE WHEN n % 2 = 0 THEN 1 - sin(a) * total WHEN n = 3 THEN 1 - 2 / pi() * a
+  ELSE 1 - 2 / pi() * (a + sin(a) * cos(a) * total) END AS p FROM e)
+SELECT f.user_id, f.blk, CASE WHEN f.n < 2 THEN NULL WHEN f.n = 2 THEN (CASE WHEN vy > 0 THEN 0.0 ELSE 1.0 END)
+  WHEN vy = 0 THEN 1.0 ELSE round(greatest(coalesce(p, 0.0), 0.0), 6) + 0.0 END AS p FROM f LEFT JOIN p USING (user_id, blk)"""
 
 
 @query("a26_trend_p_value", P_SQL)
 def _(spark, d):
     events = table(spark, d, "events").withColumn("blk", F.floor(F.datediff("ts", F.lit("2024-01-01")) / 6).cast("int"))
-    # groups of one user and six days: numbered on their own
-    rows = events.select("user_id", "blk", F.col("value").alias("y"), F.row_number().over(Window.partitionBy("user_id", "blk").orderBy("ts")).alias("x"))
-    s = rows.groupBy("user_id", "blk").agg(
-        F.count(F.lit(1)).alias("n"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"), F.covar_pop("x", "y").alias("c")
+    numbered = ranks.group_row_number(events, ["user_id", "blk"], ["ts", "event_id"], "x")
+    s = numbered.groupBy("user_id", "blk").agg(
+        F.count(F.lit(1)).alias("n"), F.var_pop("x").alias("vx"), F.var_pop("value").alias("vy"), F.covar_pop("x", "value").alias("c")
     )
     n, zero = F.col("n"), F.lit(0.0)
     fit = line_fit(n, zero, zero, n * F.col("vx"), n * F.col("c"), n * F.col("vy"))
-    return s.where("n BETWEEN 3 AND 6").select("user_id", "blk", (F.round(fit["p"], 6) + 0.0).alias("p"))
+    return s.select("user_id", "blk", (F.round(fit["p"], 6) + 0.0).alias("p"))
 
 
 @query("a27_percent_true", rounded_sql(GRP.format(cols="avg(CAST(event_type = 'click' AS DOUBLE)) AS x"), "user_id", "x"))

@@ -69,6 +69,8 @@ class _Writer:
         out = []
         if relation.plan is not None:
             plan = replace(relation.plan, aggs=tuple(relation.aggs))
+            if any(interval.too_long(a, plan) for a in mergeable):
+                raise ValueError(f"an EWMA over more than {interval.HALF_LIVES} half-lives is not one statement")
             keys = [(c, c) for c in row_id]
             texts = []
             if mergeable:

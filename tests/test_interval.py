@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Row
 
 from relweave.functions.aggregates import MERGEABLE, Agg
-from relweave.operators import interval
+from relweave.operators import holistic, interval, value_counts
 
 SCHEMA = "id long, k long, t long, x double, c string"
 
@@ -177,20 +177,80 @@ def test_holistic(spark, form):
         assert close(out[i]["ENTROPY"], -sum(q * math.log(q) for q in p) + 0.0)
 
 
-def test_unbounded_holistic_needs_few_values(spark):
-    rows = sample(8)
+COUNTED = [
+    Agg("MEDIAN", "x", name="median"), Agg("QUANTILE", "x", name="q", param=0.1), Agg("MODE", "c", name="mode"), Agg("ENTROPY", "c", name="entropy"),
+    Agg("COUNT_DISTINCT", "c", name="distinct"), Agg("COUNT_MINUS_DISTINCT", "c", name="again"), Agg("PERCENT_UNIQUE", "c", name="unique"),
+    Agg("NUM_MAX", "x", name="tops"), Agg("NUM_MIN", "x", name="lows"),
+    Agg("COUNT_ABOVE_MEAN", "x", name="above"), Agg("COUNT_BELOW_MEAN", "x", name="below"), Agg("COUNT", name="n"),
+]
+
+
+def expected_holistic(seen):
+    xs = sorted(x for _, x, _ in seen if x is not None)
+    cs = [c for _, _, c in seen if c is not None]
+
+    def quantile(p):
+        at = p * (len(xs) - 1)
+        return xs[math.floor(at)] + (at - math.floor(at)) * (xs[math.ceil(at)] - xs[math.floor(at)]) if xs else None
+
+    mean = sum(xs) / len(xs) if xs else 0.0
+    shares = [cs.count(c) / len(cs) for c in set(cs)]
+    return {
+        "median": quantile(0.5), "q": quantile(0.1), "mode": min(set(cs), key=lambda c: (-cs.count(c), c)) if cs else None,
+        "entropy": max(0.0, -sum(q * math.log(q) for q in shares)) if cs else None,
+        "distinct": len(set(cs)), "again": len(cs) - len(set(cs)), "unique": len(set(cs)) / len(cs) if cs else None,
+        "tops": xs.count(xs[-1]) if xs else 0, "lows": xs.count(xs[0]) if xs else 0,
+        "above": sum(x > mean for x in xs), "below": sum(x < mean for x in xs), "n": len(seen),
+    }
+
+
+def assert_holistic(out, windows):
+    for i, seen in windows.items():
+        for name, want in expected_holistic(seen).items():
+            got = out[i][name]
+            assert got == want if isinstance(want, str) or want is None else close(got, want), (i, name, got, want)
+
+
+@pytest.mark.parametrize(("few", "memory"), [(64, None), (0, None), (0, 60)])
+def test_holistic_windows_from_counts(spark, monkeypatch, few, memory):
+    """Values listed one by one and values refined in ranges give the same."""
+    monkeypatch.setattr(value_counts, "FEW", few)
+    monkeypatch.setattr(holistic, "FAN", 16)
+    rows = [*EDGES, *[(i + 100, k, t, None if x is None else x / 4, c) for i, k, t, x, c in sample(8)]]
     df = frame(spark, rows)
-    out = run(df, df, [Agg("MEDIAN", "x", name="m"), Agg("MODE", "c", name="mo")])
-    for i, seen in brute(rows, rows, 0, None).items():
-        vals = sorted(x for _, x, _ in seen if x is not None)
-        half = len(vals) // 2
-        assert close(out[i]["m"], None if not vals else vals[half] if len(vals) % 2 else (vals[half - 1] + vals[half]) / 2)
-        cats = [c for _, _, c in seen if c is not None]
-        assert out[i]["mo"] == (min(set(cats), key=lambda c: (-cats.count(c), c)) if cats else None)
-    rows = [(i, k, t, None if x is None else x + i / 1000, f"c{i}") for i, k, t, x, _ in rows]
+    assert_holistic(run(df, df, COUNTED, "blocks", horizon=1, memory=memory), brute(rows, rows, 1, memory))
+
+
+def test_as_of_quantiles_of_many_values(spark, hot):
+    rows = [(i, 1, i * 7 % 101, (i * 37 % 97) / 8, f"c{i % 70}") for i in range(120)]
+    df = frame(spark, rows)
+    aggs = [a for a in COUNTED if a.name in ("median", "q", "distinct", "n")]
+    got = run(df, df, aggs, key=None)
+    for i, seen in brute(rows, rows, 0, None, keyed=False).items():
+        want = expected_holistic(seen)
+        assert all(close(got[i][a.name], want[a.name]) for a in aggs)
+
+
+@pytest.mark.parametrize("form", ["sliding", "blocks"])
+def test_nan_and_infinity_are_values_in_every_form(spark, monkeypatch, form):
+    odd = [math.nan, math.inf, -math.inf, 1.0, 1.0, None, 2.0]
+    rows = [(i, 1, i, x, "a") for i, x in enumerate(odd)]
     df = frame(spark, rows)
-    with pytest.raises(interval.NotDecomposable):
-        run(df, df, [Agg("MEDIAN", "x", name="m")])
-    out = run(df, df, [Agg("COUNT_DISTINCT", "c", name="d"), Agg("COUNT", name="n")])
-    for i, seen in brute(rows, rows, 0, None).items():
-        assert out[i]["d"] == len({c for _, _, c in seen if c is not None}) and out[i]["n"] == len(seen)
+    aggs = [Agg("COUNT_DISTINCT", "x", name="d"), Agg("MEDIAN", "x", name="m"), Agg("NUM_MAX", "x", name="top")]
+    for few in (64, 0):
+        monkeypatch.setattr(value_counts, "FEW", few)
+        out = run(df, df, aggs, form, memory=100)
+        assert [out[6][c] for c in ("d", "m", "top")] == [5, 1.5, 1]
+        assert [out[i]["d"] for i in range(7)] == [1, 2, 3, 4, 4, 4, 5]
+
+
+@pytest.mark.parametrize("memory", [None, 5000])
+def test_ewma_over_thousands_of_half_lives(spark, memory):
+    rows = [(i, i % 2, t, float(t % 7), "a") for i, t in enumerate([0, 1, 3, 3000, 3001, 3950, 4000, 4003, 9000, 9001])]
+    df = frame(spark, rows)
+    out = run(df, df, [Agg("EWMA", "x", name="e", param=1.0), Agg("COUNT", name="n")], memory=memory)
+    for i, seen in brute(rows, rows, 0, memory).items():
+        last = max(t for t, _, _ in seen)
+        weights = [2.0 ** (t - last) for t, _, _ in seen]
+        assert close(out[i]["e"], sum(w * x for w, (_, x, _) in zip(weights, seen)) / sum(weights)) and out[i]["n"] == len(seen)
+

@@ -37,6 +37,19 @@ def test_row_ids_are_dense_with_ties_and_nulls(spark):
     assert [got[r[0]] for r in sorted(rows, key=lambda r: (r[2], r[0]))] == list(range(300))
 
 
+def test_pieces_cut_equal_beginnings_and_nulls(spark):
+    rows = [(i, None, f"https://a/{i}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "id long, z long, s string")
+    for order in (["s"], ["z", "id"]):
+        for pieces, width in ((12, 1024), (24, 5)):
+            found = ranks.ordered_pieces(df, order, pieces, width).select("__p0", *order).collect()
+            sizes = [sum(r["__p0"] == p for r in found) for p in {r["__p0"] for r in found}]
+            assert len(sizes) > pieces / 2 and max(sizes) < 4 * 1200 / pieces
+            by_order = [r["__p0"] for r in sorted(found, key=lambda r: r[order[-1]])]
+            assert by_order == sorted(by_order)
+    assert ranks.with_row_id(df.limit(0), ["s"]).count() == 0
+
+
 def test_group_row_number_in_segments(spark, hot):
     rows = [(i, 1 if i < 150 else i, (i * 7) % 31) for i in range(200)]
     df = spark.createDataFrame(rows, "id long, k long, t long")
