@@ -3,8 +3,8 @@
 A row's key falls on a place of the ring and belongs to the next virtual node clockwise.
 Each shard takes rows up to its bound; what overflows goes on clockwise to the next node
 whose shard has room. Bounds differ by one row at most and add up to all rows, so every
-shard is exactly full. Only counts per arc of the ring reach the driver, whose number is a
-parameter; the rows are ranked within their arc by window functions.
+shard is exactly full. Only counts per piece of an arc of the ring reach the driver, a few bytes
+for a million rows; the rows are ranked within their arc by window functions.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ SHARDS = 40
 NODES = 32
 PLACES = 1 << 13
 SALTS = 8
+PIECE = 1_000_000
 
 
 def ring(shards: int, nodes: int = NODES, places: int = PLACES) -> tuple[list[int], list[int]]:
@@ -89,24 +90,30 @@ def literal_table(df: DataFrame, rows: list[tuple], names: list[str]) -> DataFra
     return one.select(*[cells[i].cast("long").alias(n) for i, n in enumerate(names)])
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, nodes: int = NODES) -> DataFrame:
+def assign(docs: DataFrame, shards: int = SHARDS, nodes: int = NODES, piece: int = PIECE) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, home_shard) of every row, by the law `rows`.
 
     `size` is the text's bytes plus 16, a null text has none. Counts of shards are at most
     one apart and slots run from 0 without gaps. The ring knows nothing of texts, so equal
     texts are not kept together; rows with a null id fall on a place of their own. Rows
-    that share an id share an arc, which is cut by input partition, so that a hot id is
-    ranked in several pieces; among equal rows it does not matter which one moves on.
+    that share an id share an arc, which is cut by input partition into pieces of about
+    `piece` rows, `SALTS` at least, so that a hot id is ranked in as many pieces as it
+    needs; among equal rows it does not matter which one moves on. An empty table gives
+    an empty table.
     """
     owners, belongs = ring(shards, nodes)
     key = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(PLACES)).cast("int").alias("place")
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size")
     crc = F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32")
-    salt = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(SALTS)).cast("int").alias("salt")
-    rows = checkpoint(docs.select("doc_id", size, crc, key, salt))
-    places = literal_table(rows, list(enumerate(belongs)), ["place", "arc"])
-    on_arc = rows.join(F.broadcast(places), "place")
-    found = on_arc.groupBy("arc", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # at most shards * nodes * SALTS rows
+    rows = checkpoint(docs.select("doc_id", size, crc, key, F.spark_partition_id().alias("part")))
+    sizes = [0] * len(owners)
+    for r in rows.groupBy("place").agg(F.count(F.lit(1)).alias("n")).collect():  # at most PLACES rows
+        sizes[belongs[r["place"]]] += r["n"]
+    pieces = [max(SALTS, -(-n // piece)) for n in sizes]
+    places = literal_table(rows, [(p, arc, pieces[arc]) for p, arc in enumerate(belongs)], ["place", "arc", "pieces"])
+    salt = F.pmod(F.xxhash64("part"), F.col("pieces")).cast("int")
+    on_arc = rows.join(F.broadcast(places), "place").withColumn("salt", salt)
+    found = on_arc.groupBy("arc", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a piece
     parts = allot({(r["arc"], r["salt"]): r["n"] for r in found}, owners, shards)
     ranges = literal_table(rows, [(*p, owners[p[0]]) for p in parts], ["arc", "salt", "first", "end", "shard", "slot0", "home_shard"])
     order = Window.partitionBy("arc", "salt").orderBy("place", "doc_id", "text_crc32", "size")

@@ -97,11 +97,12 @@ def test_op5(spark, folder):
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 16, zlib.crc32(data), "rows", None)
 
 
-def test_shards_of_hot_and_odd_rows(spark):
+@pytest.mark.parametrize("piece", [sharding.PIECE, 7])
+def test_shards_of_hot_and_odd_rows(spark, piece):
     rows = [(i, f"t{i}") for i in range(1000)] + [(7, "same")] * 700 + [(None, None)] * 300 + [(5, "")]
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as shard", "2 as slot", "3 as place").repartition(6)
-    found = sharding.assign(df).collect()
+    found = sharding.assign(df, piece=piece).collect()
     sizes = shards_of(found)
     assert sum(sizes) == len(rows) and max(sizes) - min(sizes) <= 1
     assert Counter((r.doc_id, r.text_crc32) for r in found) == Counter((i, zlib.crc32((t or "").encode())) for i, t in rows)
