@@ -61,7 +61,10 @@ def resolve(place: Placeholder, tables: dict[str, DataFrame], spec: Propositiona
             df, added = fold_lookup(df, right, join)
             sources.update({new: inner[old] for old, new in added.items()})
         else:
-            relation = spec.relation(df, join, right, inner, (*path, join.right.name), limit=spec.num_subfeatures, row_id=place.row_id)
+            relation = spec.relation(df, join, right, inner, (*path, join.right.name), row_id=place.row_id)
+            kept = spec.kept.get(relation.path)
+            if kept is not None:
+                relation.aggs = [a for a in relation.aggs if a.alias in kept]
             spec.nested[(*path, join.right.name)] = relation
             df = attach(df, place.row_id, relation)
             names = feature_names(relation)
@@ -129,7 +132,9 @@ class Propositionalizer:
 
     `aggregation` names the aggregates, `n_most_frequent` adds conditions for the most
     frequent categories, `num_features` keeps those with the highest correlation to
-    the target on a key-hash sample of share `sampling_factor`. Targets of the right
+    the target on a key-hash sample of share `sampling_factor`. `num_subfeatures` keeps, for
+    each inner table, the aggregates whose outer features correlate most; both need a
+    target to rank by, without one everything is kept. Targets of the right
     table are only used where the join allows lagged targets.
     """
 
@@ -151,6 +156,7 @@ class Propositionalizer:
         self.shared = shared
         self._compiled: tuple | None = None
         self.nested: dict[tuple[str, ...], Relation] = {}  # inner relations by path
+        self.kept: dict[tuple[str, ...], set[str]] = {}  # aggregates of inner relations, where they were ranked
         self.columns: dict[tuple[str, ...], list[str]] = {}  # columns of resolved tables by path
         self.relations: list[Relation] | None = None
         self.selected: list[str] | None = None
@@ -176,7 +182,7 @@ class Propositionalizer:
                 out.append(Agg("QUANTILE", f"`{column}`", condition, f"q{q * 100:g}__{column}{tag}".replace(".", "_"), q))
         return out
 
-    def relation(self, left: DataFrame, join: Join, right: DataFrame, sources, path, limit=None, row_id=None) -> Relation:
+    def relation(self, left: DataFrame, join: Join, right: DataFrame, sources, path, row_id=None) -> Relation:
         by_role = R.roles(right)
         keys = {r for _, r in join.on}
         timed, bounded = join.time_stamps is not None, join.memory is not None
@@ -198,7 +204,6 @@ class Propositionalizer:
                 for x in numeric:
                     if x not in inner:
                         aggs += self._numeric(x, cond, timed, bounded, f"__{c}_is{i}")
-        aggs = aggs[: limit or len(aggs)]
         relation = Relation(join, path, right, aggs, sources)
         if timed:
             rid = self._row_id if row_id is None else row_id
@@ -249,17 +254,44 @@ class Propositionalizer:
     # ---- fit / transform -----------------------------------------------------------
 
     def fit(self, model: DataModel, view: View, target: str | None = None) -> Propositionalizer:
+        self._compiled, self.nested, self.kept = None, {}, {}
         self.relations = self._compile(model, view)
         self.selected = [f.name for f in self.features()]
+        few = self.num_subfeatures
+        if few and target and any(len(r.aggs) > few for r in self.nested.values()):
+            self.kept = self._ranked_inner(self._merits(model, view, target), few)
+            self._compiled, self.nested = None, {}
+            self.relations = self._compile(model, view)
+            self.selected = [f.name for f in self.features()]
         if self.num_features and target and len(self.selected) > self.num_features:
-            rows = view.population
-            if self.sampling_factor < 1:
-                rows = sample_by_key(rows, model.population.row_id, self.sampling_factor)
-            flat = self._features(model, View(rows, view.peripheral), [target])
-            ranked = correlations(flat, self.selected, target)
-            self.selected = [n for n, _ in sorted(ranked.items(), key=lambda p: (-abs(p[1]), p[0]))][: self.num_features]
+            ranked = self._merits(model, view, target)
+            self.selected = [n for n, _ in sorted(ranked.items(), key=lambda p: (-p[1], p[0]))][: self.num_features]
         return self
 
+    def _merits(self, model: DataModel, view: View, target: str) -> dict[str, float]:
+        """Absolute correlation of every selected feature with the target."""
+        rows = view.population
+        if self.sampling_factor < 1:
+            rows = sample_by_key(rows, model.population.row_id, self.sampling_factor)
+        flat = self._features(model, View(rows, view.peripheral), [target])
+        return {n: abs(r) for n, r in correlations(flat, self.selected, target).items()}
+
+    def _ranked_inner(self, merits: dict[str, float], few: int) -> dict[tuple[str, ...], set[str]]:
+        """The best aggregates of each inner relation; one is as good as the best feature made of it."""
+        merits = dict(merits)
+        inwards = [r for _, r in sorted(self.nested.items(), key=lambda p: len(p[0]))]
+        for relation in [*self.relations, *inwards]:
+            names = feature_names(relation)
+            for agg in relation.aggs:
+                for c in _used(agg):
+                    merits[c] = max(merits.get(c, 0.0), merits.get(names[agg.alias], 0.0))
+        out = {}
+        for relation in inwards:
+            names = feature_names(relation)
+            order = sorted(relation.aggs, key=lambda a: -merits.get(names[a.alias], 0.0))
+            out[relation.path] = {a.alias for a in order[:few]}
+        return out
+
     def features(self) -> list[Feature]:
         out = []
         for relation in self.relations or []:
