@@ -69,14 +69,24 @@ def column_importances(features: list[Feature], importances: dict[str, float]) -
 
 
 def select_columns(
-    model: DataModel, tables: dict[str, DataFrame], features: list[Feature], importances: dict[str, float], share: float
+    model: DataModel, tables: dict[str, DataFrame], features: list[Feature], importances: dict[str, float], share: float, population: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Tables without the columns that matter least; keys, time stamps and targets stay."""
+    """Tables without the columns that matter least; row ids, keys, time stamps and targets stay.
+
+    With `population`, its own columns are ranked along with the others and the rest of it
+    comes back under the model's name of it. The model fits the smaller tables as it is.
+    """
+    tables, name_of = dict(tables), {}
+    if population is not None:
+        tables[model.population.name] = population
+        name_of[model.population.name] = "population"
+        features = [*features, *[Feature(c, (), c, (f"population.{c}",)) for c in population.columns if c in importances]]
     ranked = column_importances(features, importances)
     keep = set(keep_share(ranked, share)) if ranked else set()
     fixed = (R.JOIN_KEY, R.TIME_STAMP, R.TARGET)
     out = {}
     for name, df in tables.items():
-        cols = [f.name for f in df.schema.fields if R.role_of(f) in fixed or f"{name}.{f.name}" in keep]
+        ids = model.population.row_id if name in name_of else ()
+        cols = [f.name for f in df.schema.fields if R.role_of(f) in fixed or f.name in ids or f"{name_of.get(name, name)}.{f.name}" in keep]
         out[name] = df.select(*cols)
     return out

@@ -175,6 +175,25 @@ def _(spark, d):
     return select.select_columns(dm, view.peripheral, learner.features(), fitted.importances(), 0.3)["lineitem"]
 
 
+PRIORITY = "CAST(substr(o_orderpriority, 1, 1) AS DOUBLE)"
+
+
+@query(
+    "f14_planted_population",
+    f"SELECT o_orderkey, {PRIORITY} AS priority, CASE WHEN {PRIORITY} > 2 THEN 10.0::DOUBLE ELSE 2.0 END AS y FROM orders",
+)
+def _(spark, d):
+    # the target hangs on a column of the population; its price and all columns of the lines go
+    dm, v = planted_orders(spark, d, STEP)
+    rows = table(spark, d, "orders").select("o_orderkey", F.expr(PRIORITY).alias("priority"), F.col("o_totalprice").alias("price"))
+    rows = R.set_role(rows.withColumn("y", F.when(F.col("priority") > 2, 10.0).otherwise(2.0)), "y", R.TARGET)
+    view = View(rows, v["full"].peripheral)
+    learner = Propositionalizer(("MAX",), compare_units=False).fit(dm, view)
+    flat = learner.transform(dm, view).join(rows, "o_orderkey")
+    fitted = one_tree(predict.GbtRegressor).fit(flat, [*[f.name for f in learner.features()], "priority", "price"], ["y"])
+    return select.select_columns(dm, view.peripheral, learner.features(), fitted.importances(), 0.2, rows)["population"]
+
+
 @query(
     "e10_planted_importance",
     f"SELECT feature, CAST(feature = '{LINE}' AS DOUBLE) AS importance FROM (VALUES ('{LINE}'), ('{QUANTITY}'), ('{DISCOUNT}')) AS v(feature)",
