@@ -258,17 +258,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     return rows.join(members, "fingerprint").select("key", "text_hash", "fingerprint", "component")
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of `docs` with one row of each component: that of the smallest key.
-
-    Where several rows share that key, the one whose text has the smallest hash stays;
-    of rows equal in key and text one stays. Null keys come last.
-    """
-    rows = checkpoint(fingerprints(docs, key, text))
-    order = F.struct(F.col("key").isNull().alias("absent"), "key", "text_hash")
-    prints = checkpoint(rows.groupBy("fingerprint").agg(F.min(order).alias("first")))
-    named = classes(prints, threshold)
-    chosen = named.join(prints, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
+def rows_of(docs: DataFrame, rows: DataFrame, chosen: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` named by `chosen` (first: key and text_hash), one for each; `rows` has key and text_hash of all."""
     repeats = rows.groupBy("key", "text_hash").agg(F.count(F.lit(1)).alias("repeats"))
     chosen = chosen.select(F.col("first.key").alias("key"), F.col("first.text_hash").alias("text_hash"))
     chosen = chosen.join(repeats, chosen.key.eqNullSafe(repeats.key) & (chosen.text_hash == repeats.text_hash)).select(
@@ -282,3 +273,17 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     single = kept.where("chosen.repeats = 1").select("doc.*")
     several = kept.where("chosen.repeats > 1").select("doc.*").dropDuplicates([key, text])
     return single.unionByName(several)
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of `docs` with one row of each component: that of the smallest key.
+
+    Where several rows share that key, the one whose text has the smallest hash stays;
+    of rows equal in key and text one stays. Null keys come last.
+    """
+    rows = checkpoint(fingerprints(docs, key, text))
+    order = F.struct(F.col("key").isNull().alias("absent"), "key", "text_hash")
+    prints = checkpoint(rows.groupBy("fingerprint").agg(F.min(order).alias("first")))
+    named = classes(prints, threshold)
+    chosen = named.join(prints, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
+    return rows_of(docs, rows, chosen, key, text)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from xxhash import xxh64_intdigest
 
-from relweave.llm import bpe, packing, pii, quality, simhash, toxicity
+from relweave.llm import bpe, near_copies, packing, pii, quality, simhash, toxicity
 from relweave.llm.queries import QUERIES
 
 ALPHABET = ["a", "b", "the", " ", "  ", "\n", "\t", "é", "ß", "'s", "'", "1", "23", "²", "½", "€", "😀", "\x1c", "\x85", "\xa0", "　", "<|endoftext|>"]
@@ -422,6 +422,53 @@ def test_one_of_each_odd_rows(spark):
     )
 
 
+def plain_shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def near_corpus(seed):
+    """Groups of copies with some words changed, so that similarities spread around 0.8; odd texts."""
+    rng = random.Random(seed)
+    texts = []
+    for _ in range(40):
+        base = [f"v{rng.randrange(3000)}" for _ in range(rng.randint(60, 300))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(1, 6)):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), max(1, int(len(copy) * rng.uniform(0.002, 0.035)))):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+            base = copy if rng.random() < 0.4 else base
+    return [*texts, texts[0].upper(), texts[0].replace(" ", "\n"), "", None, "one two", "One  two", "one two three four five", "one two three four six"]
+
+
+@pytest.mark.parametrize(("seed", "stars"), [(1, 2), (2, 0)])
+def test_stage_drops_near_copies_by_similarity(spark, monkeypatch, seed, stars):
+    import corpus_pipeline as cp
+
+    monkeypatch.setattr(near_copies, "STARS", stars)
+    texts = near_corpus(seed)
+    sets = [plain_shingles(t or "") for t in texts]
+    parent, far_bits = list(range(len(texts))), 0
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                far_bits += ((simhash.fingerprint(texts[i] or "") ^ simhash.fingerprint(texts[j] or "")) & (2**64 - 1)).bit_count() > 4
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    assert far_bits > 50
+    docs = table(spark, texts).repartition(3)
+    found = [r.doc_id for r in cp.drop_copies(spark, docs, "").collect()]
+    assert sorted(found) == sorted({root(i) for i in range(len(texts))})
+
+
 # ---- toxicity
 
 
