@@ -23,10 +23,13 @@ SYMBOLS = b"#*$%&|<>"
 
 @dataclass(frozen=True)
 class Limits:
-    """A line is common above both limits; a document is depleted above `lost` percent of its words."""
+    """A line is common above both limits; a document is depleted above `lost` percent of its words.
 
-    documents: int = 20
-    percent_of_host: float = 5.0
+    As they stand, one number of distinct texts decides, whatever the size of the host.
+    """
+
+    documents: int = 10
+    percent_of_host: float = 0.0
     lost: int = 80
 
 

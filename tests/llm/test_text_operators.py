@@ -161,6 +161,25 @@ def test_op8(spark, folder):
     assert Counter((r.doc_id, r.base_failed, r.removed_words, r.kept) for r in found) == Counter(plain_verdicts(rows, quality.Limits()))
 
 
+@pytest.mark.parametrize("size", [30, 1500])
+def test_lines_are_common_on_hosts_of_any_size(spark, size):
+    rng = random.Random(size)
+    notice, rare = " ".join(f"n{i}" for i in range(60)), "rare line of few"
+    rows = []
+    for i in range(size):
+        body = " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+        if i < 15:
+            body += f"\n{notice}" + (f"\n{rare}" if i < 8 else "")
+        rows.append((i, f"own {i}\n{notice}" if 15 <= i < 20 else body, "en", "host", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r for r in quality.verdicts(docs).collect()}
+    assert all(found[i].removed_words == (60 if i < 20 else 0) for i in range(size))
+    assert all(not found[i].kept and not found[i].base_failed and found[i].n_words >= 50 for i in range(15, 20))
+    kept = {r.doc_id: r.text for r in quality.cleaned(docs).collect()}
+    assert set(kept) == set(range(size)) - set(range(15, 20))
+    assert not any("n1 n2" in t for t in kept.values()) and sum(rare in t for t in kept.values()) == 8
+
+
 # ---- personal data
 
 PATTERNS = {
