@@ -81,13 +81,15 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
     The fold is crc32 of the id as text, modulo 5; which documents are taken is decided
     by a hash of the id. Labels without an id or mark are left out; where an id has
-    several marks, the highest holds.
+    several marks, the highest holds. Of rows that share an id the one whose text has the
+    smallest hash is taken, so a repeated id adds no rows.
     """
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     known = known.where(F.crc32(F.col("id").cast("string")) % 5 != 0).groupBy("id").agg(F.max("toxic").alias("toxic"))
     few = known.orderBy(F.xxhash64("id"), "id").limit(sample)
-    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t"))
-    return texts.join(F.broadcast(few), "id").select("toxic", "t")
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t")).join(F.broadcast(few), "id")
+    first = F.min(F.struct(F.xxhash64("t").alias("order"), "t"))
+    return texts.groupBy("id").agg(F.max("toxic").alias("toxic"), first.alias("first")).select("toxic", "first.t")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, places: int = PLACES, smooth: float = 0.5) -> Model:

@@ -537,3 +537,12 @@ def test_without_examples(spark):
     model = toxicity.train(docs, labels.where("toxic = 0"))
     assert max(r.score for r in toxicity.score(docs.drop("score"), model, ["doc_id"]).collect()) < 0.01
     assert toxicity.score(docs.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_repeated_ids_add_no_rows(spark):
+    docs, labels = toxic_corpus(spark, 200)
+    many = spark.range(3000).selectExpr("1L as doc_id", "concat('text ', id) as text", "'en' as lang", "'s' as source", "0L as score")
+    assert toxicity.labelled(docs.unionByName(many), labels, 50).count() == 50
+    once = sorted(map(tuple, toxicity.labelled(docs.unionByName(many).repartition(7), labels, 500).collect()), key=str)
+    assert once == sorted(map(tuple, toxicity.labelled(many.unionByName(docs).repartition(2), labels, 500).collect()), key=str)
+    assert len(once) == len({r.doc_id for r in labels.dropna().collect() if zlib.crc32(str(r.doc_id).encode()) % 5})
