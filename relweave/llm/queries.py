@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from public_tokenizers import path as tokenizer
 
-from . import bpe, chat, licenses, packing, pii, quality, sharding, simhash, topk, toxicity
+from . import bpe, chat, licenses, packing, pii, quality, resample, sharding, simhash, topk, toxicity, vector_codes, warc
 from .common import read
 
 
@@ -98,11 +98,34 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM m GROUP BY conv_id"""
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(read(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP11_SQL = """
+WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(h, CAST(1 + 5 * i AS INT), 5) AS BIGINT)) AS five,
+      row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC) AS place, first_value(page_id) OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST, url DESC) AS keeper FROM p)
+SELECT page_id, payload_bytes, list_reduce(list_transform(five, lambda v: list_reduce(list_transform([32768, 1024, 32, 1], lambda d: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v // d % 32 + 1 AS INT), 1)),
+    lambda a, c: a || c)), lambda a, c: a || c) AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN keeper END AS refers_to FROM b"""
+
+
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = vector_codes.compressed(read(spark, folder, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
 
     return run(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_simhash, op3_top_k, op4_toxicity, op5_ring_shards, op6_personal_data, op7_packing, op8_quality, op9_licenses, op10_chat, pipeline)}
-ORACLES = {"op3_top_k": OP3_SQL, "op9_licenses": licenses.oracle(), "op10_chat": OP10_SQL}
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_simhash, op3_top_k, op4_toxicity, op5_ring_shards, op6_personal_data, op7_packing, op8_quality, op9_licenses, op10_chat, op11_warc, op12_resample, op13_vector_codes, pipeline)}
+ORACLES = {"op3_top_k": OP3_SQL, "op9_licenses": licenses.oracle(), "op10_chat": OP10_SQL, "op11_warc": OP11_SQL}
