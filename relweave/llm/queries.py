@@ -116,11 +116,50 @@ def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
     return resample.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+OP12_SQL = r"""
+WITH steps AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) AS r(i))),
+w AS MATERIALIZED (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark)),
+f AS MATERIALIZED (SELECT side, id, unnest(flatten(list_transform(range(1, 4), lambda k: list_transform(range(len(w) - k + 1), lambda i: array_to_string(w[i + 1:i + k], ' '))))) AS f FROM w),
+b AS MATERIALIZED (SELECT f, xor(4294967295, list_reduce(list_transform(range(octet_length(encode(f))), lambda i: CAST('0x' || substr(hex(encode(f)), CAST(2 * i + 1 AS INT), 2) AS BIGINT)),
+      lambda c, x: xor(c >> 8, t[CAST(xor(c & 255, x) + 1 AS INT)]), 4294967295)) % 10000 AS bucket FROM (SELECT DISTINCT f FROM f), steps),
+c AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM f JOIN b USING (f) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM c),
+d AS (SELECT id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN b USING (f) JOIN g USING (bucket) WHERE side = 0 GROUP BY id),
+a AS (SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, CAST('0x' || substr(sha256('42:' || w.id), 1, 8) AS BIGINT) AS h FROM w LEFT JOIN d USING (id) WHERE side = 0),
+e AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM a),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS n FROM e)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 5 * n // 100 THEN place END AS rank FROM r"""
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     found = vector_codes.compressed(read(spark, folder, "embeddings"))
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_sql(rounds: int = 4) -> str:
+    """Every round is two tables: the nearest entry of each part, and the entries that follow from it."""
+    out = ["""
+WITH k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, part, x[len(x) // 4 * part + 1:len(x) // 4 * (part + 1)] AS v FROM k, range(4) AS r(part)),
+b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v AS e FROM p QUALIFY entry < 256)"""]
+    near = """
+a{r} AS MATERIALIZED (SELECT vec_id, part, any_value(v) AS v, min(CAST(list_sum(list_transform(list_zip(v, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * 256 + entry) AS best
+      FROM p JOIN b{r} USING (part) GROUP BY vec_id, part)"""
+    mean = """
+b{n} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM b{r} b LEFT JOIN (SELECT part, entry, list(c ORDER BY i) AS e
+      FROM (SELECT part, entry, i, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS c FROM (SELECT part, best % 256 AS entry, unnest(v) AS x, unnest(range(len(v))) AS i FROM a{r}) GROUP BY part, entry, i)
+      GROUP BY part, entry) m USING (part, entry))"""
+    for r in range(rounds):
+        out += [near.format(r=r), mean.format(r=r, n=r + 1)]
+    out.append(near.format(r=rounds))
+    return ",".join(out) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM (SELECT vec_id, string_agg(printf('%02x', best % 256), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id) JOIN k USING (vec_id)"""
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -128,4 +167,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_simhash, op3_top_k, op4_toxicity, op5_ring_shards, op6_personal_data, op7_packing, op8_quality, op9_licenses, op10_chat, op11_warc, op12_resample, op13_vector_codes, pipeline)}
-ORACLES = {"op3_top_k": OP3_SQL, "op9_licenses": licenses.oracle(), "op10_chat": OP10_SQL, "op11_warc": OP11_SQL}
+ORACLES = {"op3_top_k": OP3_SQL, "op9_licenses": licenses.oracle(), "op10_chat": OP10_SQL, "op11_warc": OP11_SQL, "op12_resample": OP12_SQL, "op13_vector_codes": op13_sql()}
