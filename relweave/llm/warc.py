@@ -55,55 +55,48 @@ def base32(hexed: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def described(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """(page_id, url, payload, payload_bytes, payload_digest) of every page."""
-    own = pages.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).cast("binary").alias("payload"))
-    return own.select("page_id", "url", "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), base32(F.sha1("payload")).alias("payload_digest"))
-
-
-def same(a: DataFrame, b: DataFrame, names: list[str]) -> Column:
-    out = F.lit(True)
-    for n in names:
-        out = out & a[n].eqNullSafe(b[n])
-    return out
+def record_id(page: Column, url: Column, digest: Column, copy: Column | None = None) -> Column:
+    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in (page, url, digest, *([] if copy is None else [copy]))]
+    return F.md5(F.concat_ws("\x1f", *parts).cast("binary"))
 
 
-def record_id(page: Column, url: Column, digest: Column, copy: Column) -> Column:
-    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in (page, url, digest, copy)]
-    return F.md5(F.concat_ws("\x1f", *parts).cast("binary"))
+def described(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """(page_id, url, payload, payload_bytes, payload_digest, record) of every page; equal pages have one record."""
+    own = pages.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.coalesce(F.col(f"`{html}`"), F.lit("")).cast("binary").alias("payload"))
+    own = own.select("*", F.octet_length("payload").cast("long").alias("payload_bytes"), base32(F.sha1("payload")).alias("payload_digest"))
+    return own.withColumn("record", record_id(F.col("page_id"), F.col("url"), F.col("payload_digest")))
 
 
 def records(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: int = 0) -> DataFrame:
     """One row for each row of `pages`, with the payload for responses only.
 
-    Decisions are made on rows without payloads; payloads meet the decision of their own
-    row once, and only those of responses go on.
+    Which payload stays is decided on rows without payloads. Payloads are shuffled once,
+    one of equal pages a map task, and meet the decision about their own page.
     """
-    names = ["page_id", "url", "payload_digest"]
     rows = described(pages, key, url, html)
-    groups = checkpoint(rows.groupBy(*names, "payload_bytes").agg(F.count(F.lit(1)).alias("n")))
-    largest = groups.where(F.col("payload_bytes") >= least).groupBy(F.col("payload_digest").alias("of")).agg(F.max(F.struct("page_id", "url")).alias("keeper"), F.sum("n").alias("total"))
-    # one payload may be that of most pages: groups are spread over salts, the few rows about repeated payloads repeated for each
-    repeated = largest.where("total > 1").select("of", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("place"))
-    salted = groups.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+    short = F.first(F.when(F.col("payload_bytes") < least, F.col("payload"))) if least > 0 else F.first(F.lit(None).cast("binary"))
+    about = ["record", "page_id", "url", "payload_digest", "payload_bytes"]
+    groups = checkpoint(rows.groupBy(*about).agg(F.count(F.lit(1)).alias("n"), short.alias("short")))
+    largest = groups.where(F.col("payload_bytes") >= least).groupBy(F.col("payload_digest").alias("of")).agg(F.max(F.struct("page_id", "url")).alias("keeper"), F.count(F.lit(1)).alias("pages"))
+    # one payload may be that of most pages: pages are spread over salts, the few rows about repeated payloads repeated for each
+    repeated = largest.where("pages > 1").select("of", "keeper", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("place"))
+    salted = groups.withColumn("salt", F.pmod(F.xxhash64("record"), F.lit(SALTS)))
     told = salted.join(repeated, (F.col("payload_digest") == F.col("of")) & (F.col("salt") == F.col("place")), "left")
-    kept = F.col("keeper").isNull() | F.struct("page_id", "url").eqNullSafe(F.col("keeper"))
-    told = checkpoint(told.select(*names, "payload_bytes", "n", "keeper", kept.alias("kept"), (F.col("payload_bytes") < least).alias("each")))
-
-    decided = told.where("kept").select(*names, "n", "each")
-    joined = rows.join(decided.hint("shuffle_hash"), same(rows, decided, names)).select(*[rows[c] for c in names], "payload", "payload_bytes", "n", "each")
-    single = joined.where("n = 1 OR each").withColumn("copy", F.when(F.col("n") > 1, -1 - F.monotonically_increasing_id()).otherwise(0))
-    several = joined.where("n > 1 AND NOT each").dropDuplicates(names).withColumn("copy", F.lit(0).cast("long"))
-    nothing = [F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_record")]
-    first = single.unionByName(several).select(*names, "payload_bytes", "payload", F.lit("response").alias("record_type"), *nothing, "copy")
-
-    again = told.withColumn("more", F.col("n") - F.when(F.col("kept"), F.when(F.col("each"), F.col("n")).otherwise(1)).otherwise(0)).where("more > 0")
-    to = F.coalesce("keeper", F.struct("page_id", "url")).alias("to")
-    again = again.select(*names, "payload_bytes", "more", to, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("more") - 1) / COPIES))).alias("lot"))
-    again = again.repartition(F.xxhash64(*names, "lot")).withColumn("copy", F.explode(F.sequence(F.col("lot") * COPIES + 1, F.least(F.col("more"), (F.col("lot") + 1) * COPIES))))
-    response = record_id(F.col("to.page_id"), F.col("to.url"), F.col("payload_digest"), F.lit(0).cast("long"))
-    again = again.select(*names, "payload_bytes", F.lit(None).cast("binary").alias("payload"), F.lit("revisit").alias("record_type"), F.col("to.page_id").alias("refers_to"), response.alias("refers_record"), "copy")
-    return first.unionByName(again).withColumn("record", record_id(F.col("page_id"), F.col("url"), F.col("payload_digest"), F.col("copy"))).drop("copy")
+    own = F.struct("page_id", "url")
+    told = checkpoint(told.select(*about, "n", "short", F.coalesce("keeper", own).alias("to"), (F.col("keeper").isNull() | own.eqNullSafe(F.col("keeper"))).alias("kept")))
+
+    payloads = rows.groupBy(F.col("record").alias("of")).agg(F.first("payload").alias("payload"))
+    kept = told.where("kept").join(payloads, F.col("record") == F.col("of")).select(*about, "payload", F.lit("response").alias("record_type"), F.lit(None).cast("struct<page_id:bigint,url:string>").alias("to"), F.lit(0).cast("long").alias("copy"))
+
+    more = told.withColumn("more", F.col("n") - F.col("kept").cast("long")).where("more > 0")
+    more = more.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("more") - 1) / COPIES)))).repartition(F.xxhash64("record", "lot"))
+    more = more.withColumn("copy", F.explode(F.sequence(F.col("lot") * COPIES + 1, F.least(F.col("more"), (F.col("lot") + 1) * COPIES))))
+    each = F.col("payload_bytes") < least  # short payloads are always stored
+    more = more.select(*about, "short", F.when(each, "response").otherwise("revisit").alias("record_type"), F.when(~each, F.col("to")).alias("to"), "copy")
+    out = kept.unionByName(more.withColumnRenamed("short", "payload"))
+    refers = F.when(F.col("record_type") == "revisit", record_id(F.col("to.page_id"), F.col("to.url"), F.col("payload_digest")))
+    number = F.when(F.col("copy") > 0, record_id(F.col("page_id"), F.col("url"), F.col("payload_digest"), F.col("copy"))).otherwise(F.col("record"))
+    return out.select(*about[1:], "payload", "record_type", F.col("to.page_id").alias("refers_to"), refers.alias("refers_record"), number.alias("record"))
 
 
 # ---- the format
