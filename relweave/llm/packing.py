@@ -10,8 +10,10 @@ step groups of equal numbers of tokens, so that the attention cost of the groups
 
 from __future__ import annotations
 
+import os
 import re
 from bisect import bisect_right, insort
+from itertools import chain, compress
 from unicodedata import is_normalized
 
 import numpy as np
@@ -28,18 +30,21 @@ STEP = 32_768
 HELD = 1_000_000
 END = 2
 CHUNKS = 400_000
+MARKS = ".,;:!?"
 
 
 class Tokens:
     """Ids of whole texts by the tokenizer library, asked once for each word met.
 
     The vocabulary drops white space, so the ids of a text are those of its chunks between
-    blanks in a row. Most chunks are letters, perhaps with a mark behind them; their words
-    are lower-cased here and go to the library many at a time, told apart afterwards by
-    the ids that end a word. All other chunks go through the library's own steps.
+    blanks in a row. Lines of Latin letters and single marks are lower-cased and taken
+    apart here, word by word; other lines give chunks between blanks. Chunks of letters go to the
+    library many at a time, told apart afterwards by the ids that end a word; all others go
+    through the library's own steps.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole, self.words_only = Tokenizer.from_file(path), Tokenizer.from_file(path)
@@ -52,33 +57,37 @@ class Tokens:
         vocab = self.whole.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends_word[[i for w, i in vocab.items() if suffix and w.endswith(suffix)]] = True
+        self.other = re.compile(f"[^a-zß-öø-ÿœ \t-\r{MARKS}]|[{MARKS}][{MARKS}]").search
         self.odd = re.compile("[\x1c-\x1f]").search
         self.blanks = re.compile("[\t\n\x0b\x0c\r ]+").split
-        self.chunks, self.words = Store(CHUNKS), Store(CHUNKS)
+        self.chunks = Store(CHUNKS)
 
     def split(self, text: str) -> list[str]:
-        return [w for w in self.blanks(text) if w] if self.odd(text) else text.split()
-
-    def plain(self, chunk: str) -> list[str] | None:
-        """Words of a chunk of letters with at most one mark behind them; None for any other chunk."""
-        low = chunk.lower()
-        if low.isalpha():
-            found = [low]
-        elif low[:-1].isalpha() and low[-1] in ".,;:!?)":
-            found = [low[:-1], low[-1]]
-        else:
-            return None
-        return found if chunk.isascii() or ("\u03a3" not in chunk and is_normalized("NFC", chunk)) else None
+        """Chunks whose ids in a row are those of the text."""
+        low = text.lower()
+        if not self.other(low):
+            return apart(low)
+        out: list[str] = []
+        for line in text.split("\n"):
+            low = line.lower()
+            if not self.other(low):
+                out += apart(low)
+            elif self.odd(line):
+                out += [w for w in self.blanks(line) if w]
+            else:
+                out += line.split()
+        return out
+
+    def plain(self, chunk: str) -> bool:
+        """Whether a chunk is one word of letters."""
+        return chunk.isalpha() and (chunk.isascii() or chunk.lower().isalpha() and "\u03a3" not in chunk and is_normalized("NFC", chunk))
 
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        split = [self.plain(c) for c in chunks]
-        flat = [w for ws in split if ws for w in ws]
-        ids, counts = self.words.look_up(flat, self.encode_words) if flat else (np.empty(0, np.int32), np.empty(0, np.int64))
-        rest = [e.ids for e in self.whole.encode_batch_fast([c for c, ws in zip(chunks, split, strict=True) if not ws], add_special_tokens=False)]
-        known = np.array([bool(ws) for ws in split])
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum([len(ws) for ws in split if ws])]).astype(np.int64)]
+        known = np.fromiter(map(self.plain, chunks), dtype=bool, count=len(chunks))
+        ids, counts = self.encode_words([c.lower() for c in compress(chunks, known)])
+        rest = [e.ids for e in self.whole.encode_batch_fast(list(compress(chunks, ~known)), add_special_tokens=False)]
         lengths = np.empty(len(chunks), dtype=np.int64)
-        lengths[known], lengths[~known] = np.diff(ends), [len(x) for x in rest]
+        lengths[known], lengths[~known] = counts, [len(x) for x in rest]
         starts = np.cumsum(lengths) - lengths
         out = np.empty(int(lengths.sum()), dtype=np.int64)
         out[ranges(starts[known], lengths[known])] = ids
@@ -96,7 +105,7 @@ class Tokens:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, with the end id after them."""
         per_text = [self.split(t) for t in texts]
-        flat = [w for ws in per_text for w in ws]
+        flat = list(chain.from_iterable(per_text))
         ids, counts = self.chunks.look_up(flat, self.encode_chunks) if flat else (np.empty(0, np.int32), np.empty(0, np.int64))
         bounds = np.cumsum([len(ws) for ws in per_text])
         ends = np.concatenate([[0], np.cumsum(counts)])[bounds]
@@ -104,6 +113,14 @@ class Tokens:
         return [np.concatenate([x, stop]) for x in np.split(ids, ends[:-1])]
 
 
+def apart(low: str) -> list[str]:
+    """Words and marks of lower-case text in which no two marks touch."""
+    for mark in MARKS:
+        if mark in low:
+            low = low.replace(mark, f" {mark} ")
+    return low.split()
+
+
 class Packer:
     """Windows of one task. A piece is (document, start, length); a window is a list of pieces."""
 
