@@ -70,12 +70,15 @@ def resolve(place: Placeholder, tables: dict[str, DataFrame], spec: Propositiona
             names = feature_names(relation)
             for agg in relation.aggs:
                 sources[names[agg.alias]] = tuple(s for c in _used(agg) for s in relation.sources.get(c, ()))
-            for name in names.values():
-                df = df.withMetadata(name, {"role": R.NUMERICAL, "derived": True})
+            learnt = {a.alias for a in spec.extra.get(relation.path, ())}
+            learnt |= {a.alias for a in relation.aggs if learnt and a.func == "COUNT" and a.condition is None}  # the rows outside a condition
+            for agg in relation.aggs:
+                above = agg.func == "SUM" and any(right.schema[c].metadata.get("learnt") for c in _used(agg))
+                df = df.withMetadata(names[agg.alias], {"role": R.NUMERICAL, "derived": True, "learnt": above or agg.alias in learnt})
     if spec.shared and any(not j.is_lookup for j in place.joins):
         # several statements read these rows; compute the inner aggregates once
         df = shared_rows(df)
-    spec.columns[path] = df.columns
+    spec.columns[path], spec.rows[path] = df.columns, df
     return df, sources
 
 
@@ -158,6 +161,8 @@ class Propositionalizer:
         self.nested: dict[tuple[str, ...], Relation] = {}  # inner relations by path
         self.kept: dict[tuple[str, ...], set[str]] = {}  # aggregates of inner relations, where they were ranked
         self.columns: dict[tuple[str, ...], list[str]] = {}  # columns of resolved tables by path
+        self.rows: dict[tuple[str, ...], DataFrame] = {}  # resolved tables by path
+        self.extra: dict[tuple[str, ...], list[Agg]] = {}  # learnt aggregates of inner relations by path
         self.relations: list[Relation] | None = None
         self.selected: list[str] | None = None
         self._categories: dict[tuple, list] = {}
@@ -204,6 +209,7 @@ class Propositionalizer:
                 for x in numeric:
                     if x not in inner:
                         aggs += self._numeric(x, cond, timed, bounded, f"__{c}_is{i}")
+        aggs += self.extra.get(path, [])
         relation = Relation(join, path, right, aggs, sources)
         if timed:
             rid = self._row_id if row_id is None else row_id

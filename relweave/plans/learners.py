@@ -3,11 +3,16 @@
 All three score every candidate of a level in a single aggregation over the
 population; the driver only sees sums. The candidates themselves are conditional
 aggregates compiled like any other feature, so time bounds and lookups work.
+Conditions of inner tables are found by the residual of a first fit, carried down to
+their rows (see pushdown.py), and join the candidates of the next.
 """
 
 from __future__ import annotations
 
+
+import operator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -17,6 +22,8 @@ from pyspark.sql import functions as F
 from ..functions.aggregates import Agg
 from ..operators import moments
 from ..operators import roles as R
+from ..session import checkpoint
+from . import pushdown
 from .features import Feature, Propositionalizer, Relation, _literal, attach, combine, feature_names, resolve
 from .model import PROPOSITIONALIZATION, DataModel, Placeholder, View
 
@@ -32,18 +39,21 @@ def residual(target: str, score: Column, loss: str) -> Column:
 class _Search:
     """Shared part: right sides, thresholds and candidate conditions."""
 
-    def __init__(self, num_features: int, loss: str, n_thresholds: int, n_most_frequent: int, shrinkage: float):
+    def __init__(self, num_features: int, loss: str, n_thresholds: int, n_most_frequent: int, shrinkage: float, num_subfeatures: int):
         if loss not in (SQUARE, CROSS_ENTROPY):
             raise ValueError(f"unknown loss {loss}")
         self.num_features, self.loss, self.n_thresholds = num_features, loss, n_thresholds
-        self.n_most_frequent, self.shrinkage = n_most_frequent, shrinkage
+        self.n_most_frequent, self.shrinkage, self.num_subfeatures = n_most_frequent, shrinkage, num_subfeatures
+        self.extra: dict[tuple[str, ...], list[Agg]] = {}
 
     subfeatures = ("COUNT", "AVG", "SUM", "MIN", "MAX")
+    turns = 2
 
     def _relations(self, model: DataModel, view: View) -> list[Relation]:
-        """Learnt relations; inner tables reach them as enumerated sub-features."""
+        """Learnt relations; inner tables reach them as enumerated and learnt sub-features."""
         base = Propositionalizer(aggregation=(), compare_units=False)
         inner = Propositionalizer(aggregation=self.subfeatures, compare_units=False)
+        inner.extra = self.extra
         base._row_id = inner._row_id = model.population.row_id
         out = []
         for join in model.population.joins:
@@ -52,8 +62,42 @@ class _Search:
             rows, sources = resolve(join.right, view.peripheral, inner, (join.right.name,))
             probe = base.relation(view.population, join, rows, sources, (join.right.name,))
             out.append(probe)
+        self.inner = inner
         return out
 
+    def fit(self, model: DataModel, view: View, target: str) -> _Search:
+        """Fit, then learn conditions of inner tables from what is left, and fit again with them."""
+        self._fit_plain(model, view)
+        self.extra = {}
+        self.relations = self._relations(model, view)
+        left = self._fit(model, view, target)
+        for _ in range(self.turns if self.num_subfeatures and any(_has_inner(r.join.right) for r in self.relations) else 0):
+            if left is None:
+                break
+            found: dict[tuple[str, ...], list[Agg]] = {}
+            for relation in self.relations:
+                if not _has_inner(relation.join.right):
+                    continue
+                rows = pushdown.carried(left, relation.join, relation.right)
+                for path, aggs in pushdown.search(relation.join.right, rows, self.inner, relation.path, self.conditions, self.num_subfeatures, self.extra).items():
+                    found.setdefault(path, aggs)
+            if not found:
+                break
+            self.extra = {p: [*self.extra.get(p, []), *found.get(p, [])] for p in {**self.extra, **found}}
+            self.relations = self._relations(model, view)
+            left = self._fit(model, view, target)
+        return self
+
+    def _left_over(self, model: DataModel, rows: DataFrame, score: _Score, target: str) -> DataFrame | None:
+        """Keys of the population rows with their residual as gradient; None when (almost) nothing is left."""
+        if not self.num_subfeatures or not any(_has_inner(r.join.right) for r in self.relations):
+            return None
+        value = _linear(score.names, score.weights) + F.lit(score.constant)
+        gradient = residual(target, value, self.loss).alias(pushdown.GRADIENT)
+        left = checkpoint(rows.select(*_join_columns(model), gradient, F.lit(1.0).alias(pushdown.WEIGHT)))
+        now, all_ = left.agg(F.var_pop(pushdown.GRADIENT)).first()[0], score.moments.cov[-1, -1] if self.loss == SQUARE else 0.25
+        return None if not now or now <= 1e-9 * all_ else left
+
     def _fit_plain(self, model: DataModel, view: View) -> None:
         """Relations marked as plain are enumerated, not learnt."""
         joins = [j for j in model.population.joins if j.relationship == PROPOSITIONALIZATION]
@@ -98,17 +142,15 @@ class ConditionSearch(_Search):
     """AGG(column) WHERE condition; the best absolute correlation with the residual wins."""
 
     def __init__(self, num_features: int = 5, loss: str = SQUARE, aggregation=("AVG", "SUM", "COUNT", "MIN", "MAX"),
-                 n_thresholds: int = 7, n_most_frequent: int = 5, shrinkage: float = 1.0):
-        super().__init__(num_features, loss, n_thresholds, n_most_frequent, shrinkage)
+                 n_thresholds: int = 7, n_most_frequent: int = 5, shrinkage: float = 1.0, num_subfeatures: int = 3):
+        super().__init__(num_features, loss, n_thresholds, n_most_frequent, shrinkage, num_subfeatures)
         self.aggregation = aggregation
 
-    def fit(self, model: DataModel, view: View, target: str) -> ConditionSearch:
-        self._fit_plain(model, view)
+    def _fit(self, model: DataModel, view: View, target: str) -> DataFrame | None:
         rows = _needed(model, view, target)
-        self.relations = self._relations(model, view)
         self.chosen: list[tuple[int, Agg]] = []
         if not self.relations:
-            return self
+            return None
         candidates: dict[str, tuple[int, Agg]] = {}
         for i, relation in enumerate(self.relations):
             aggs = self._candidates(relation)
@@ -126,8 +168,9 @@ class ConditionSearch(_Search):
                 break
             self.chosen.append(candidates[names[best]])
             fitted.add({names[best]: gradient[best] / fitted.var[best]}, self.shrinkage)
+        left = self._left_over(model, rows, fitted, target)
         rows.unpersist()
-        return self
+        return left
 
     def _candidates(self, relation: Relation) -> list[Agg]:
         by_role = R.roles(relation.right)
@@ -162,11 +205,21 @@ class ConditionSearch(_Search):
         return self._with_plain(model, view, learnt)
 
 
-def _needed(model: DataModel, view: View, target: str) -> DataFrame:
-    """Row id, target and the columns the joins use."""
+def _has_inner(place: Placeholder) -> bool:
+    """Whether a table has tables below it that are aggregated."""
+    return any(not j.is_lookup or _has_inner(j.right) for j in place.joins)
+
+
+def _join_columns(model: DataModel) -> list[str]:
+    """Row id and the columns of the population that the joins use."""
     joins = model.population.joins
     used = {l for j in joins for l, _ in j.on} | {j.time_stamps[0] for j in joins if j.time_stamps}
-    rows = view.population.select(*dict.fromkeys([*model.population.row_id, target, *sorted(used)]))
+    return list(dict.fromkeys([*model.population.row_id, *sorted(used)]))
+
+
+def _needed(model: DataModel, view: View, target: str) -> DataFrame:
+    """Row id, target and the columns the joins use."""
+    rows = view.population.select(*dict.fromkeys([*_join_columns(model), target]))
     return rows.where(F.col(target).isNotNull())
 
 
@@ -232,25 +285,24 @@ class BoostedAggregates(_Search):
     """
 
     def __init__(self, num_features: int = 5, loss: str = SQUARE, linear: bool = False, max_depth: int = 1, min_num_samples: int = 1,
-                 n_thresholds: int = 7, n_most_frequent: int = 5, shrinkage: float = 1.0, reg_lambda: float = 0.0):
-        super().__init__(num_features, loss, n_thresholds, n_most_frequent, shrinkage)
+                 n_thresholds: int = 7, n_most_frequent: int = 5, shrinkage: float = 1.0, reg_lambda: float = 0.0, num_subfeatures: int = 3):
+        super().__init__(num_features, loss, n_thresholds, n_most_frequent, shrinkage, num_subfeatures)
         self.linear, self.max_depth, self.min_num_samples, self.reg_lambda = linear, max_depth, min_num_samples, reg_lambda
 
     def _atoms(self, relation: Relation, condition: str | None, tag: str) -> list[Agg]:
         atoms = [Agg("COUNT", None, condition, f"n__{tag}")]
+        by_role = R.roles(relation.right)
         if self.linear:
-            by_role = R.roles(relation.right)
             numeric = by_role[R.NUMERICAL] + (by_role[R.TARGET] if relation.join.lagged_targets else [])
-            atoms += [Agg("SUM", f"`{c}`", condition, f"s_{c}__{tag}") for c in numeric]
-        return atoms
+        else:  # inner rows that meet a learnt condition have weights of their own
+            numeric = [c for c in by_role[R.NUMERICAL] if relation.right.schema[c].metadata.get("learnt")]
+        return atoms + [Agg("SUM", f"`{c}`", condition, f"s_{c}__{tag}") for c in numeric]
 
-    def fit(self, model: DataModel, view: View, target: str) -> BoostedAggregates:
-        self._fit_plain(model, view)
+    def _fit(self, model: DataModel, view: View, target: str) -> DataFrame | None:
         rows = _needed(model, view, target)
-        self.relations = self._relations(model, view)
         self.trees: list[tuple[int, list[Leaf]]] = []
         if not self.relations:
-            return self
+            return None
         base, splits = {}, {}
         conditions = [self.conditions(r) for r in self.relations]
         for i, relation in enumerate(self.relations):
@@ -281,8 +333,9 @@ class BoostedAggregates(_Search):
             self.trees.append((i, leaves))
             if self.max_depth > 1 and len(leaves) > 2:
                 rows, score = self._rebase(model, rows, names, i, leaves, target, score, weights, columns)
+        left = self._left_over(model, rows, score, target)
         rows.unpersist()
-        return self
+        return left
 
     def _deepen(self, model, rows, i, leaves, conditions, target, score, depth) -> list[Leaf]:
         """Split every leaf again; one aggregation and one pass for all leaves of a level."""
@@ -338,7 +391,9 @@ class BoostedAggregates(_Search):
             columns = [*base, *names]
             gram = stats.block(columns, columns) + np.eye(len(columns)) * self.reg_lambda / max(stats.n, 1)
             rhs = np.array([slopes[c] for c in columns])
-            weights = np.linalg.lstsq(gram, rhs, rcond=1e-10)[0]
+            size = np.sqrt(np.maximum(np.diag(gram), 0.0))
+            scale = np.divide(1.0, size, out=np.zeros_like(size), where=size > 0)  # columns differ by many orders of magnitude
+            weights = scale * np.linalg.lstsq(gram * np.outer(scale, scale), rhs * scale, rcond=1e-10)[0]
             gain = float(weights @ rhs)
             if np.isfinite(gain) and gain > 1e-9 and (best is None or gain > best[0]):
                 best = (gain, cond, weights)
@@ -386,5 +441,7 @@ class BoostedAggregates(_Search):
 
 
 def _linear(columns: list[str], weights) -> Column:
-    terms = [F.col(f"`{c}`") * F.lit(float(w)) for c, w in zip(columns, weights)]
-    return sum(terms[1:], terms[0])
+    terms = [F.col(f"`{c}`") * F.lit(float(w)) for c, w in zip(columns, weights) if w] or [F.lit(0.0)]
+    while len(terms) > 1:  # a balanced sum: long chains are too deep for the code generator
+        terms = [reduce(operator.add, terms[i : i + 2]) for i in range(0, len(terms), 2)]
+    return terms[0]
