@@ -9,7 +9,6 @@ their rows (see pushdown.py), and join the candidates of the next.
 
 from __future__ import annotations
 
-
 import operator
 from dataclasses import dataclass, replace
 from functools import reduce

@@ -6,7 +6,7 @@ from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import moments
+from ..operators import dependence, moments
 from ..operators import roles as R
 from .features import Feature
 from .model import DataModel
@@ -30,7 +30,7 @@ def top_correlated(df: DataFrame, columns: list[str], target: str, n: int) -> li
 
 
 def select_relevant(df: DataFrame, columns: list[str], target: str, fdr: float = 0.05, label_type: str = "continuous") -> list[str]:
-    """Univariate test per column with false-discovery control under dependence.
+    """F test per column with false-discovery control under dependence.
 
     The Benjamini-Yekutieli bound is Benjamini-Hochberg at fdr / (1 + 1/2 + ... + 1/m),
     so the built-in selector does the testing.
@@ -45,6 +45,12 @@ def select_relevant(df: DataFrame, columns: list[str], target: str, fdr: float =
     return [usable[i] for i in sorted(selector.fit(data).selectedFeatures)]
 
 
+def select_dependent(df: DataFrame, columns: list[str], target: str, fdr: float = 0.05) -> list[str]:
+    """Columns on which the target depends by the test for the types of both, at a false-discovery rate under any dependence."""
+    found = dependence.dependence(df, columns, target)
+    return [found[i][0] for i in dependence.benjamini_yekutieli([p for *_, p in found], fdr)]
+
+
 def keep_share(importances: dict[str, float], share: float) -> list[str]:
     """Most important first, at least one."""
     ranked = sorted(importances, key=lambda c: (-importances[c], c))
