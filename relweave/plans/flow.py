@@ -15,7 +15,7 @@ from ..operators import metrics, prep
 from ..operators import roles as R
 from . import select
 from .features import Feature, Propositionalizer, combine, correlations, fold_lookup, resolve
-from .model import DataModel, Placeholder, View
+from .model import DataModel, Join, Placeholder, View
 from .predict import IncludeCategorical, Predictor
 
 
@@ -41,11 +41,15 @@ class Pipeline:
 
     def _prepare(self, view: View, targets: list[str], fit: bool) -> View:
         population, tables = view.population, dict(view.peripheral)
+        if fit:
+            self._folded: list[tuple[Join, Propositionalizer]] = []  # lookups of the population, for scripts
         for join in self.model.population.joins:
             if join.is_lookup:  # the columns of a lookup become columns of the population
                 spec = Propositionalizer(compare_units=False)
                 right, _ = resolve(join.right, tables, spec, (join.right.name,))
                 population, _ = fold_lookup(population, right, join)
+                if fit:
+                    self._folded.append((join, spec))
         if fit:
             self._fitted = {}
             self._model = self.model
@@ -93,6 +97,7 @@ class Pipeline:
             self._categories = IncludeCategorical(R.roles(prepared.population)[R.CATEGORICAL]).fit(prepared.population)
         flat = self._flat(prepared)
         columns = self._columns(flat)
+        self._own_columns = self._own(prepared.population, targets)
         if self.selectors:
             columns = select.select_features(self.selectors[0], flat, columns, targets, self.share)
         self.columns = columns

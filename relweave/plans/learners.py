@@ -194,12 +194,20 @@ class ConditionSearch(_Search):
             out.append(Feature(f"{relation.prefix}__{agg.alias}", relation.path, agg.describe(), cols))
         return out
 
-    def transform(self, model: DataModel, view: View) -> DataFrame:
-        rows = view.population
+    def pieces(self) -> list[tuple[Relation, list[Agg], dict[str, list[tuple[str, float]]]]]:
+        """Relations, their aggregates, and the features as weighted sums of the attached columns."""
+        out = []
         for i, relation in enumerate(self.relations):
             aggs = [a for j, a in self.chosen if j == i]
             if aggs:
-                rows, _ = self._attach(model, rows, relation, aggs)
+                names = feature_names(replace(relation, aggs=aggs))
+                out.append((relation, aggs, {names[a.alias]: [(names[a.alias], 1.0)] for a in aggs}))
+        return out
+
+    def transform(self, model: DataModel, view: View) -> DataFrame:
+        rows = view.population
+        for relation, aggs, _ in self.pieces():
+            rows, _ = self._attach(model, rows, relation, aggs)
         learnt = rows.select(*model.population.row_id, *[F.col(f"`{f.name}`") for f in self.learnt_features()])
         return self._with_plain(model, view, learnt)
 
@@ -416,26 +424,28 @@ class BoostedAggregates(_Search):
             out.append(Feature(f"{relation.prefix}__boosted_{number + 1}", relation.path, sql, cols))
         return out
 
-    def transform(self, model: DataModel, view: View) -> DataFrame:
-        rows = view.population
-        weights: dict[str, Column] = {}
-        names = [f.name for f in self.learnt_features()]
+    def pieces(self) -> list[tuple[Relation, list[Agg], dict[str, list[tuple[str, float]]]]]:
+        """Relations, their aggregates, and the features as weighted sums of the attached columns."""
+        out, named = [], [f.name for f in self.learnt_features()]
         for i, relation in enumerate(self.relations):
             aggs, parts = [], {}
             for number, (j, leaves) in enumerate(self.trees):
-                if j != i:
-                    continue
-                for k, leaf in enumerate(leaves):
+                for k, leaf in enumerate(leaves if j == i else []):
                     atoms = self._atoms(relation, leaf.condition, f"t{number}_{k}")
-                    parts.setdefault(number, []).append((len(aggs), leaf))
+                    parts.setdefault(named[number], []).extend((a.alias, float(w)) for a, w in zip(atoms, leaf.weights))
                     aggs += atoms
-            if not aggs:
-                continue
-            rows, cols = self._attach(model, rows, relation, aggs)
-            for number, items in parts.items():
-                terms = [_linear(cols[at : at + len(leaf.weights)], leaf.weights) for at, leaf in items]
-                weights[names[number]] = sum(terms[1:], terms[0])
-        learnt = rows.select(*model.population.row_id, *[weights[n].alias(n) for n in names])
+            if aggs:
+                names = feature_names(replace(relation, aggs=aggs))
+                out.append((relation, aggs, {f: [(names[a], w) for a, w in terms] for f, terms in parts.items()}))
+        return out
+
+    def transform(self, model: DataModel, view: View) -> DataFrame:
+        rows = view.population
+        weights: dict[str, Column] = {}
+        for relation, aggs, features in self.pieces():
+            rows, _ = self._attach(model, rows, relation, aggs)
+            weights.update({f: _linear([c for c, _ in terms], [w for _, w in terms]) for f, terms in features.items()})
+        learnt = rows.select(*model.population.row_id, *[weights[f.name].alias(f.name) for f in self.learnt_features()])
         return self._with_plain(model, view, learnt)
 
 

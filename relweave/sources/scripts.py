@@ -17,17 +17,20 @@ from .files import list_files, read_text, write_text
 
 
 class _Writer:
-    def __init__(self, spec: Propositionalizer, tables: dict[str, DataFrame]):
+    def __init__(self, spec: Propositionalizer | None, tables: dict[str, DataFrame]):
         self.spec, self.tables = spec, tables
         self.statements: list[tuple[str, str]] = []
+        self.names: dict[str, str] = {}  # views that stand for a table after preparation
+        self.tag = ""
 
     def view(self, name: str, sql: str) -> str:
+        name = f"{self.tag}{name}"
         self.statements.append((name, f"CREATE OR REPLACE TEMP VIEW {name} AS\n{sql}"))
         return name
 
     def stage(self, place: Placeholder, path: tuple[str, ...]) -> str:
         """View of a table with its lookups and sub-features."""
-        source = place.name
+        source = self.names.get(place.name, place.name)
         for number, join in enumerate(place.joins):
             inner = self.stage(join.right, (*path, join.right.name))
             name = f"staged__{'__'.join(path)}__{number + 1}"
@@ -37,7 +40,7 @@ class _Writer:
                 relation = self.spec.nested[(*path, join.right.name)]
                 source = self.attach(source, inner, relation, list(place.row_id), name)
                 # several statements read this view: compute it once, spilled to disk where needed
-                self.statements.append((f"cache_{name}", f"CACHE LAZY TABLE {name}"))
+                self.statements.append((f"cache_{source}", f"CACHE LAZY TABLE {source}"))
         return source
 
     def lookup(self, source: str, inner: str, join: Join, name: str, path) -> str:
