@@ -56,7 +56,7 @@ class Sides:
             self.join, left_keys=(*self.keys, *[a for a, _ in match]), right_keys=(*self.keys, *[b for _, b in match]),
             left_order=time, right_order="tick", row_id=tuple(rows.columns), aggs=tuple(aggs), centers={}, span=0.0, **bounds,
         )
-        return checkpoint(interval.interval_aggregate(rows, right, part, "blocks"))
+        return checkpoint(interval.interval_aggregate(rows, right, part, "blocks", told_apart=True))
 
     def named(self, rows: DataFrame, aggs) -> DataFrame:
         names = [c.strip("`") for c in self.join.row_id]

@@ -24,13 +24,14 @@ The statements are plain Spark SQL, so the same text can be saved as a script.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.aggregates import COUNT_LIKE, HOLISTIC, MERGEABLE, REBASE, REBASE_NEEDS, STABLE, STATES, Agg
 from ..functions.timecols import order_sql, ticks_per_unit
+from ..session import checkpoint
 from . import skew, value_counts
 
 
@@ -419,10 +420,11 @@ def hot_cuts(left: DataFrame, right: DataFrame, join: IntervalJoin) -> DataFrame
     return skew.segment_bounds(groups, cols, "o")
 
 
-def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, form: str | None = None) -> DataFrame:
+def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, form: str | None = None, told_apart: bool = False) -> DataFrame:
     """Row id and one column per aggregate; left rows without partner get NULL, counts 0.
 
-    `form` is "sliding" or "blocks"; by default the profile of the data decides.
+    `form` is "sliding" or "blocks"; by default the profile of the data decides. Rows that share a
+    row id, or have none, are rows of their own in both; `told_apart` says that there are none.
     """
     from . import holistic as ordered
 
@@ -440,6 +442,11 @@ def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, fo
     if form == "sliding":
         sql = sliding_sql(join, join.aggs, self_join, WIDE_FACTOR)
         return _run(spark, sql, {"right_rows": right} if self_join else both)
+    if not told_apart and not unique_ids(left, join.row_id):
+        held = with_handle(left)
+        ids = [c.strip("`") for c in join.row_id]
+        found = interval_aggregate(held, right, replace(join, row_id=(f"`{HANDLE}`",)), form, True)
+        return held.select(HANDLE, *[F.col(f"`{c}`") for c in ids]).join(found, HANDLE).select(*[F.col(f"`{c}`") for c in ids], *[F.col(f"`{a.alias}`") for a in join.aggs])
     # holistic aggregates of columns with few values become counts, which merge
     known: dict[str, tuple[list, list[Agg]]] = {}
     for value in dict.fromkeys(a.value_sql for a in holistic):
@@ -475,6 +482,32 @@ def interval_aggregate(left: DataFrame, right: DataFrame, join: IntervalJoin, fo
     return out.select(*join.row_id, *[F.col(f"`{a.alias}`") for a in join.aggs])
 
 
+HANDLE = "__handle"
+
+
+def unique_ids(df: DataFrame, ids) -> bool:
+    """Whether the columns tell all rows of `df` apart and are never null: one narrow aggregate, once a frame."""
+    key = tuple(c.strip("`") for c in ids)
+    known = df.__dict__.setdefault("_unique_ids", {})
+    if key not in known:
+        missing = F.lit(False)
+        for c in key:
+            missing = missing | F.col(f"`{c}`").isNull()
+        counts = df.groupBy(*[F.col(f"`{c}`").alias(f"i{i}") for i, c in enumerate(key)]).agg(F.count(F.lit(1)).alias("n"), F.max(missing).alias("missing"))
+        row = counts.agg(F.max("n"), F.max("missing")).first()
+        known[key] = not row[0] or (row[0] == 1 and not row[1])
+    return known[key]
+
+
+def with_handle(df: DataFrame) -> DataFrame:
+    """The rows with a number each, written down, so that a task that runs again finds the same."""
+    out = checkpoint(df.withColumn(HANDLE, F.monotonically_increasing_id()))
+    for f in df.schema.fields:
+        if f.metadata:
+            out = out.withMetadata(f.name, f.metadata)
+    return out
+
+
 def _same_side(left: DataFrame, right: DataFrame, join: IntervalJoin) -> bool:
     if join.left_keys != join.right_keys or join.left_order != join.right_order:
         return False

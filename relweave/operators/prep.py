@@ -156,28 +156,45 @@ class Imputation:
         return out
 
 
-def check(population: DataFrame, tables: dict[str, DataFrame], joins) -> list[tuple[str, str, float]]:
+def check(population: DataFrame, tables: dict[str, DataFrame], joins, row_id=()) -> list[tuple[str, str, float]]:
     """Data-model warnings: (kind, where, share or count).
 
-    Share of population keys without partner, lookup keys that are not unique, and
-    columns that are entirely null. Each is one aggregate or one anti join.
+    Row ids that are null or not unique, share of keys without partner and lookup keys that are not
+    unique on every level of the model, and columns that are entirely null. Each is one
+    aggregate or one anti join.
     """
+    out = []
+    if row_id:
+        ids = [F.col(f"`{c}`") for c in row_id]
+        missing = F.lit(False)
+        for c in ids:
+            missing = missing | c.isNull()
+        counts = population.groupBy(*ids).agg(F.count(F.lit(1)).alias("__n"), F.max(missing).alias("__m"))
+        row = counts.agg(F.sum(F.when(F.col("__m"), F.col("__n"))), F.count(F.when((F.col("__n") > 1) & ~F.col("__m"), 1))).first()
+        out += [("row id missing", "population", float(row[0]))] if row[0] else []
+        out += [("row ids not unique", "population", float(row[1]))] if row[1] else []
+    out += _check_joins(population, tables, joins, "")
+    for name, df in {"population": population, **tables}.items():
+        row = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
+        out += [("column is always null", f"{name}.{c}", 1.0) for c in df.columns if row[c] == 0]
+    return out
+
+
+def _check_joins(left: DataFrame, tables: dict[str, DataFrame], joins, path: str) -> list[tuple[str, str, float]]:
     out = []
     for join in joins:
-        right = tables[join.right.name]
+        right, place = tables[join.right.name], f"{path}{join.right.name}"
         left_keys, right_keys = [l for l, _ in join.on], [r for _, r in join.on]
-        if join.on:
-            total = population.count()
+        if join.on and all(c in left.columns for c in left_keys):  # keys that a lookup brings along are checked there
+            total = left.count()
             known = right.select(*[F.col(r).alias(l) for l, r in join.on]).dropna().distinct()
-            found = skew.skew_join(population.select(*left_keys), known.withColumn("__hit", F.lit(1)), left_keys, "left")
+            found = skew.skew_join(left.select(*left_keys), known.withColumn("__hit", F.lit(1)), left_keys, "left")
             missing = found.agg(F.count(F.when(F.col("__hit").isNull(), 1))).first()[0]
             if missing:
-                out.append(("keys without partner", join.right.name, missing / total))
+                out.append(("keys without partner", place, missing / total))
         if join.is_lookup:
             twice = right.groupBy(*right_keys).count().where("count > 1").count()
             if twice:
-                out.append(("lookup keys not unique", join.right.name, float(twice)))
-    for name, df in {"population": population, **tables}.items():
-        row = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
-        out += [("column is always null", f"{name}.{c}", 1.0) for c in df.columns if row[c] == 0]
+                out.append(("lookup keys not unique", place, float(twice)))
+        out += _check_joins(right, tables, join.right.joins, f"{place}.")
     return out

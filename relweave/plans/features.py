@@ -91,11 +91,19 @@ def shared_rows(df: DataFrame) -> DataFrame:
 
 
 def fold_lookup(left: DataFrame, right: DataFrame, join: Join) -> tuple[DataFrame, dict[str, str]]:
-    """many-to-one / one-to-one: the columns of the right table move to the left one."""
+    """many-to-one / one-to-one: the columns of the right table move to the left one.
+
+    The rows of a key are counted on the way; a second one fails the job, as every row of the left
+    table would be there twice.
+    """
     keys = [r for _, r in join.on]
     names = {c: f"{join.right.name}__{c}" for c in right.columns if c not in keys}
     keyed = [F.col(f"`{r}`").alias(l) for l, r in join.on]
-    moved = right.select(*keyed, *[F.col(f"`{c}`").alias(n, metadata=right.schema[c].metadata) for c, n in names.items()])
+    whole = F.struct(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]) if names else F.struct(F.lit(True))
+    grouped = right.select(*keyed, whole.alias("__row")).dropna(subset=[l for l, _ in join.on]).groupBy(*[F.col(f"`{l}`") for l, _ in join.on])
+    text = F.concat(F.lit(f"{join.right.name}: several rows of the lookup have the key "), F.to_json(F.struct(*[F.col(f"`{l}`") for l, _ in join.on])))
+    one = grouped.agg(F.count(F.lit(1)).alias("__n"), F.first("__row").alias("__row")).withColumn("__row", F.when(F.col("__n") > 1, F.raise_error(text)).otherwise(F.col("__row")))
+    moved = one.select(*[F.col(f"`{l}`") for l, _ in join.on], *[F.col("__row")[n].alias(n, metadata=right.schema[c].metadata) for c, n in names.items()])
     return skew.skew_join(left, moved, [l for l, _ in join.on], "left"), names
 
 
@@ -115,14 +123,18 @@ def aggregate(left: DataFrame, relation: Relation) -> DataFrame:
 
 
 def attach(left: DataFrame, row_id, relation: Relation) -> DataFrame:
-    """Left rows with the relation's features appended."""
+    """Left rows with the relation's features appended; rows that share a row id stay rows of their own."""
     names = feature_names(relation)
-    if relation.plan is not None:
-        found = aggregate(left, relation)
-        out = left.join(found, list(row_id), "left")
-    else:
-        out = grouping.join_aggregate(left, relation.right, relation.aggs, list(relation.join.on))
-    return out.withColumnsRenamed(names)
+    if relation.plan is None:
+        return grouping.join_aggregate(left, relation.right, relation.aggs, list(relation.join.on)).withColumnsRenamed(names)
+    if not interval.unique_ids(left, row_id):
+        held = interval.with_handle(left)
+        plan = replace(relation.plan, aggs=tuple(relation.aggs), row_id=(f"`{interval.HANDLE}`",))
+        found = interval.interval_aggregate(held, relation.right, plan, told_apart=True)
+        return held.join(found, interval.HANDLE, "left").drop(interval.HANDLE).withColumnsRenamed(names)
+    out = left.join(aggregate(left, relation), list(row_id), "left").withColumnsRenamed(names)
+    out.__dict__["_unique_ids"] = dict(left.__dict__["_unique_ids"])  # the same rows
+    return out
 
 
 def compare(out: DataFrame, relation: Relation) -> DataFrame:
@@ -314,7 +326,7 @@ class Propositionalizer:
         wanted = set(self.selected)
         relations = self._compile(model, view)
         row_id = list(model.population.row_id)
-        if relations and keep == row_id and all(r.plan is not None and not r.comparisons for r in relations):
+        if relations and keep == row_id and all(r.plan is not None and not r.comparisons for r in relations) and interval.unique_ids(out, row_id):
             # every part has one row per population row already: no join with the population
             parts = []
             for relation in relations:

@@ -37,7 +37,7 @@ class Pipeline:
         self.share, self.include_categorical = share_selected_features, include_categorical
 
     def check(self, view: View) -> list[tuple[str, str, float]]:
-        return prep.check(view.population, view.peripheral, self.model.population.joins)
+        return prep.check(view.population, view.peripheral, self.model.population.joins, self.model.population.row_id)
 
     def _prepare(self, view: View, targets: list[str], fit: bool) -> View:
         population, tables = view.population, dict(view.peripheral)

@@ -360,3 +360,17 @@ def _(spark, d):
     view = View(data["orders"].select("o_orderkey", "o_custkey"), {"customer": data["customer"].select("c_custkey", "c_mktsegment"), "orders": data["orders"].select("o_custkey")})
     rows = Pipeline(dm).prepared(view)
     return rows.select("o_orderkey", F.col("customer__c_mktsegment").alias("segment"), F.col("customer__customer__orders__count").cast("double").alias("orders_of_customer"))
+
+
+REPEATED = """SELECT {form} AS form, CASE WHEN a.o_orderpriority <> '1-URGENT' THEN a.o_custkey END AS id, count(b.o_orderkey) AS n, sum(b.o_totalprice) AS total, max(b.o_totalprice) AS most
+    FROM orders a LEFT JOIN orders b ON a.o_custkey = b.o_custkey AND b.o_orderdate <= a.o_orderdate - INTERVAL 1 DAY AND b.o_orderdate > a.o_orderdate - INTERVAL 201 DAY GROUP BY a.o_orderkey, 2"""
+
+
+@query("j8_repeated_row_ids", rounded_sql(f"{REPEATED.format(form=chr(39) + 'sliding' + chr(39))} UNION ALL {REPEATED.format(form=chr(39) + 'blocks' + chr(39))}", "form id n", "total most"))
+def _(spark, d):
+    # the row id is null for some rows and shared by others; both forms of the join keep every row
+    orders = table(spark, d, "orders").withColumn("id", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")))
+    aggs = [Agg("COUNT", name="n"), Agg("SUM", "o_totalprice", name="total"), Agg("MAX", "o_totalprice", name="most")]
+    plan = interval.plan_interval(orders, orders, aggs, on=[("o_custkey", "o_custkey")], times=("o_orderdate", "o_orderdate"), row_id=["id"], horizon=days(1), memory=days(200))
+    parts = [interval.interval_aggregate(orders, orders, plan, form).select(F.lit(form).alias("form"), "*") for form in ("sliding", "blocks")]
+    return rounded(parts[0].unionByName(parts[1]))

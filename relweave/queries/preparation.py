@@ -117,6 +117,26 @@ def _(spark, d):
     return spark.createDataFrame(rows, "kind string, place string, value double")
 
 
+@query(
+    "m9_check_levels",
+    """SELECT 'row id missing' AS kind, 'population' AS place, (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT')::DOUBLE AS value
+    UNION ALL SELECT 'row ids not unique', 'population', (SELECT count(*) FROM (SELECT o_custkey FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY 1 HAVING count(*) > 1))::DOUBLE
+    UNION ALL SELECT 'keys without partner', 'lineitem.part', (SELECT avg(CAST(p_partkey IS NULL AS INT)) FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON p_partkey = l_partkey)
+    UNION ALL SELECT 'lookup keys not unique', 'lineitem.part.customer', (SELECT count(*) FROM (SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(*) > 1))::DOUBLE""",
+)
+def _(spark, d):
+    # findings about the row id and two levels below the population
+    orders = table(spark, d, "orders").withColumn("id", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")))
+    parts = table(spark, d, "part").where("p_size > 10").withColumn("home", F.lit(1))
+    part, customer, lines = Placeholder("part"), Placeholder("customer"), Placeholder("lineitem")
+    part.join(customer, on=("home", "c_nationkey"), relationship=MANY_TO_ONE)
+    lines.join(part, on=("l_partkey", "p_partkey"))
+    tables = {"lineitem": table(spark, d, "lineitem"), "part": parts, "customer": table(spark, d, "customer")}
+    found = prep.check(orders, tables, [Join(lines, (("o_orderkey", "l_orderkey"),))], ["id"])
+    wanted = [w for w in found if w[1] in ("population", "lineitem.part") or w[0] == "lookup keys not unique"]
+    return spark.createDataFrame(wanted, "kind string, place string, value double")
+
+
 @query(
     "r1_seasonal",
     """SELECT event_id, CAST(year(ts) AS VARCHAR) AS year__ts, CAST(month(ts) AS VARCHAR) AS month__ts,

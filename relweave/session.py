@@ -84,9 +84,17 @@ def plan_bytes(df: DataFrame) -> int:
     rows (lookups and aggregated sides only), so the sum over the leaves is closer.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(_whole(leaves.apply(i).stats()) for i in range(leaves.size()))
+
+
+def _whole(stats) -> int:
+    """The size of an estimate; products of unknown sizes can have more digits than Python reads, and count as 2^62."""
+    try:
+        return min(int(str(stats.sizeInBytes())), 1 << 62)
+    except ValueError:
+        return 1 << 62
 
 
 def output_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of a plan's output, the one broadcast decisions use."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return _whole(df._jdf.queryExecution().optimizedPlan().stats())

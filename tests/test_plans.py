@@ -170,3 +170,31 @@ def test_population_lookup_and_preprocessors(spark):
     pipe.fit(view, ["y"])
     assert "shops__size" in pipe.columns and "shops__kind__mean_target" in pipe.columns
     assert pipe.score(view).first()["rsquared"] > 0.999
+
+
+def test_second_row_of_a_lookup_key_fails(spark):
+    from relweave.plans.features import fold_lookup
+    from relweave.plans.model import Join
+
+    left = spark.createDataFrame([(1, 2), (2, 3), (None, 4), (5, 5)], "k int, x int")
+    right = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k int, v string")
+    join = Join(Placeholder("r"), (("k", "k"),), relationship="many_to_one")
+    folded, _ = fold_lookup(left, right, join)
+    assert sorted((r.x, r.r__v) for r in folded.collect()) == [(2, "a"), (3, "b"), (4, None), (5, None)]
+    twice, _ = fold_lookup(left, right.unionByName(right.limit(1)), join)
+    with pytest.raises(Exception, match="several rows of the lookup"):
+        twice.collect()
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_rows_with_the_same_id_keep_their_features(spark, shared):
+    rows = [(1, 1, 10, 5.0), (1, 1, 20, 7.0), (None, 1, 20, 1.0), (2, 2, 11, 2.0), (2, 2, 11, 2.0), (3, None, 5, 1.0)]
+    df = spark.createDataFrame([(i if shared else n, k, t, x) for n, (i, k, t, x) in enumerate(rows)], "id int, k int, t int, x double")
+    df = R.set_role(df, "x", R.NUMERICAL)
+    dm = DataModel(Placeholder("population", ("id",))).add("h")
+    dm.population.join(dm.h, on="k", time_stamps="t", horizon=1, memory=30)
+    dm.population.join(dm.h, on="k")
+    learner = Propositionalizer(("COUNT", "SUM"), compare_units=False).fit(dm, View(df, {"h": df}))
+    found = learner.transform(dm, View(df, {"h": df})).collect()
+    want = [(0, None), (1, 5.0), (1, 5.0), (0, None), (0, None), (0, None)]
+    assert sorted((r["h__count"], r["h__sum__x"] or 0) for r in found) == sorted((n, s or 0) for n, s in want)
