@@ -45,6 +45,7 @@ class Relation:
     sources: dict[str, tuple[str, ...]]
     plan: interval.IntervalJoin | None = None
     comparisons: list[tuple[str, str, str]] = field(default_factory=list)  # (name, left column, feature)
+    equal: tuple[str, str] | None = None  # left and right category that must agree
 
     @property
     def prefix(self) -> str:
@@ -122,18 +123,23 @@ def aggregate(left: DataFrame, relation: Relation) -> DataFrame:
     return interval.interval_aggregate(left, relation.right, plan)
 
 
-def attach(left: DataFrame, row_id, relation: Relation) -> DataFrame:
-    """Left rows with the relation's features appended; rows that share a row id stay rows of their own."""
+def attach(left: DataFrame, row_id, relation: Relation, base: DataFrame | None = None) -> DataFrame:
+    """Left rows with the relation's features appended; rows that share a row id stay rows of their own.
+
+    `base` holds the same rows before anything was appended: plans of several relations then
+    do not contain each other.
+    """
+    base = left if base is None else base
     names = feature_names(relation)
     if relation.plan is None:
         return grouping.join_aggregate(left, relation.right, relation.aggs, list(relation.join.on)).withColumnsRenamed(names)
-    if not interval.unique_ids(left, row_id):
+    if not interval.unique_ids(base, row_id):
         held = interval.with_handle(left)
         plan = replace(relation.plan, aggs=tuple(relation.aggs), row_id=(f"`{interval.HANDLE}`",))
         found = interval.interval_aggregate(held, relation.right, plan, told_apart=True)
         return held.join(found, interval.HANDLE, "left").drop(interval.HANDLE).withColumnsRenamed(names)
-    out = left.join(aggregate(left, relation), list(row_id), "left").withColumnsRenamed(names)
-    out.__dict__["_unique_ids"] = dict(left.__dict__["_unique_ids"])  # the same rows
+    out = left.join(aggregate(base, relation), list(row_id), "left").withColumnsRenamed(names)
+    out.__dict__["_unique_ids"] = dict(base.__dict__["_unique_ids"])  # the same rows
     return out
 
 
@@ -240,6 +246,25 @@ class Propositionalizer:
                                 relation.comparisons.append((f"{names[agg.alias]}__diff_{lc}", lc, names[agg.alias]))
         return relation
 
+    def equalities(self, left: DataFrame, join: Join, right: DataFrame, sources, path) -> list[Relation]:
+        """Same-unit categories: how many right rows have the left row's category. The categories are a further key of the join."""
+        out = []
+        lu, ru, keys = R.units(left), R.units(right), set(join.on)
+        for unit in lu.keys() & ru.keys():
+            for l in lu[unit]:
+                for r in ru[unit]:
+                    fields = left.schema[l], right.schema[r]
+                    if (l, r) in keys or any(R.role_of(f) != R.CATEGORICAL for f in fields):
+                        continue
+                    relation = Relation(replace(join, on=(*join.on, (l, r))), (*path, f"equal_{l}_{r}"), right, [Agg("COUNT", name="count")], sources)
+                    if join.time_stamps is not None:
+                        relation.plan = interval.plan_interval(
+                            left, right, relation.aggs, on=list(relation.join.on), times=join.time_stamps, row_id=list(self._row_id), horizon=join.horizon, memory=join.memory
+                        )
+                    relation.equal = (l, r)
+                    out.append(relation)
+        return out
+
     def _frequent(self, right: DataFrame, column: str, path) -> list:
         """Most frequent categories, learnt once: a distributed count and a bounded top-n."""
         if not self.n_most_frequent:
@@ -266,6 +291,8 @@ class Propositionalizer:
             same = sum(j.right.name == name for j in model.population.joins[:i])
             path = (f"{name}_{same + 1}" if same else name,)
             out.append(self.relation(view.population, join, rows, sources, path))
+            if self.compare_units:
+                out += self.equalities(view.population, join, rows, sources, path)
         self._compiled = (model, tables, out)
         return out
 
@@ -315,8 +342,10 @@ class Propositionalizer:
         for relation in self.relations or []:
             names = feature_names(relation)
             for agg in relation.aggs:
-                cols = tuple(s for c in _used(agg) for s in relation.sources.get(c, ()))
-                out.append(Feature(names[agg.alias], relation.path, agg.describe(), cols))
+                cols, sql = tuple(s for c in _used(agg) for s in relation.sources.get(c, ())), agg.describe()
+                if relation.equal:
+                    cols, sql = (*cols, f"population.{relation.equal[0]}", *relation.sources.get(relation.equal[1], ())), f"{sql} WHERE t1.{relation.equal[0]} = t2.{relation.equal[1]}"
+                out.append(Feature(names[agg.alias], relation.path, sql, cols))
             for name, left, base in relation.comparisons:
                 out.append(Feature(name, relation.path, f"t1.{left} - {base}", (f"population.{left}",)))
         return out
@@ -341,7 +370,7 @@ class Propositionalizer:
             needed = wanted | {f for n, _, f in relation.comparisons if n in wanted}
             used = [a for a in relation.aggs if names[a.alias] in needed]
             if used:
-                out = compare(attach(out, model.population.row_id, replace(relation, aggs=used)), replace(
+                out = compare(attach(out, model.population.row_id, replace(relation, aggs=used), view.population), replace(
                     relation, comparisons=[c for c in relation.comparisons if c[0] in wanted]))
         return out.select(*keep, *[F.col(f"`{c}`") for c in self.selected])
 
