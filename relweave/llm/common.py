@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -45,11 +48,25 @@ def groups(texts: list[str | None], chars: int = GROUP_CHARS) -> Iterator[tuple[
 def kept(name: str, build: Callable[[], object]) -> object:
     """What a Python worker holds on to for its next tasks: one object, that of the latest operator."""
     if name not in _kept:
-        _kept.clear()
+        let_go()
         _kept[name] = build()
     return _kept[name]
 
 
+def let_go() -> None:
+    """Drop what the worker holds, and give the memory back to the machine where the C library can."""
+    if _kept:
+        _kept.clear()
+        trim()
+
+
+def trim() -> None:
+    """Give memory that is no longer used back to the machine, where the C library can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def streamed(df: DataFrame) -> DataFrame:
     """`df`, ready to go through Python: the package is there, and batches are small.
 
@@ -81,7 +98,7 @@ def map_texts(docs: DataFrame, keep: list[str | Column], schema: str, work: Call
 
     def run(batches):
         if not lasting:
-            _kept.clear()
+            let_go()
         step = work()
         for batch in batches:
             for first, texts in groups(batch.column(at).to_pylist()):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
-from .common import groups, map_texts, streamed
+from .common import groups, map_texts, streamed, trim
 
 BITS = 20
 SIZES = (4, 5)
@@ -140,11 +140,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, places: int
                 held = np.split((both & 0xFFFFFFFF).astype(np.int32), ends[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(marks[first : first + len(texts)], pa.int32()), pa.array(list(held), pa.list_(pa.int32()))], names=["toxic", "held"])
 
-    found = streamed(rows).mapInArrow(present, "toxic int, held array<int>").orderBy("toxic", "held").collect()
-    target = np.array([r["toxic"] for r in found], dtype=float)
-    lengths = np.array([len(r["held"]) for r in found], dtype=np.int64)
-    held = np.array([x for r in found for x in r["held"]], dtype=np.int64)
-    return fit(target, lengths, held, chosen, ratios)
+    # as flat arrays: lists of Python numbers would take many times the room
+    found = streamed(rows).mapInArrow(present, "toxic int, held array<int>").orderBy("toxic", "held").toArrow().combine_chunks()
+    lists = found.column("held").combine_chunks()
+    target = found.column("toxic").to_numpy().astype(float)
+    model = fit(target, np.diff(lists.offsets.to_numpy()).astype(np.int64), lists.flatten().to_numpy().astype(np.int64), chosen, ratios)
+    del found, lists
+    trim()
+    return model
 
 
 def fit(target: np.ndarray, lengths: np.ndarray, held: np.ndarray, chosen: np.ndarray, ratios: np.ndarray, rounds: int = 150, decay: float = 1e-4) -> Model:
