@@ -211,7 +211,8 @@ def read_back(index: DataFrame, folder: str, payload: bool = False, gap: int = G
     Digest and size of a response are those of the payload that was read, and must be the
     stated ones; those of a revisit are the stated ones of the payload it refers to. With
     `payload`, responses carry theirs. A record named twice comes twice; an empty selection
-    reads nothing. Files are cut into stretches of 16 reads, so a large archive has many readers.
+    reads nothing. Files are cut into stretches of 16 reads, so a large archive has many readers,
+    and the number of tasks follows the bytes to be read.
     """
 
     def run(batches):
@@ -256,7 +257,8 @@ def read_back(index: DataFrame, folder: str, payload: bool = False, gap: int = G
     names = [x.split(" ")[0] for x in schema.split(", ")]
     kinds = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[x.split(" ")[1]] for x in schema.split(", ")]
     stretch = F.floor(F.col("offset") / (16 * most))
-    placed = index.select("archive", "offset", "length").repartition("archive", stretch).sortWithinPartitions("archive", "offset")
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, (index.agg(F.sum("length")).first()[0] or 0) // (16 * most))
+    placed = index.select("archive", "offset", "length").repartition(int(tasks), "archive", stretch).sortWithinPartitions("archive", "offset")
     return streamed(placed).mapInArrow(run, schema)
 
 
