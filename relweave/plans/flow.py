@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..operators import metrics, prep
 from ..operators import roles as R
-from . import select
+from . import mapping, select
 from .features import Feature, Propositionalizer, combine, correlations, fold_lookup, resolve
 from .model import DataModel, Join, Placeholder, View
 from .predict import IncludeCategorical, Predictor
@@ -52,12 +52,14 @@ class Pipeline:
                     self._folded.append((join, spec))
         if fit:
             self._fitted = {}
+            self._mapped: dict[int, dict] = {}  # means of categories by preprocessor and table
             self._model = self.model
         for i, step in enumerate(self.preprocessors):
             if isinstance(step, prep.Mapping):
                 if fit:
-                    step.fit(population, targets[0])
-                population = step.transform(population)
+                    self._mapped[i] = mapping.fitted(population, tables, self.model.population.joins, targets, step.min_freq) if targets else {}
+                population = mapping.mapped(population, self._mapped[i].get("", []))
+                tables.update({n: mapping.mapped(tables[n], entries) for n, entries in self._mapped[i].items() if n})
                 continue
             if isinstance(step, prep.TextFieldSplitter):
                 if fit:

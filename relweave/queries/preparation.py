@@ -117,6 +117,33 @@ def _(spark, d):
     return spark.createDataFrame(rows, "kind string, place string, value double")
 
 
+MEANS = """WITH p AS (SELECT o_custkey, o_orderkey, o_totalprice AS price, length(o_orderpriority) AS words, {split} AS split FROM orders),
+    seen AS (SELECT l_returnflag, price, words FROM p JOIN lineitem ON l_orderkey = o_orderkey WHERE split = 'train'),
+    brands AS (SELECT p_brand, avg(price) AS m FROM p JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE split = 'train' GROUP BY p_brand HAVING count(*) >= 20),
+    flags AS (SELECT l_returnflag, avg(price) AS a, avg(words) AS b FROM seen GROUP BY l_returnflag)
+    SELECT o_orderkey, avg(a) AS flag_price, avg(b) AS flag_words, avg(brand) AS brand_price FROM p JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN flags USING (l_returnflag)
+    LEFT JOIN (SELECT p_partkey, avg(m) AS brand FROM part LEFT JOIN brands USING (p_brand) GROUP BY p_partkey) ON p_partkey = l_partkey GROUP BY o_orderkey"""
+
+
+@query("r2_mapping_below", rounded_sql(MEANS.format(split=SPLIT), "o_orderkey", "flag_price flag_words brand_price"))
+def _(spark, d):
+    # two targets; categories one and two joins below the population, learnt from its training rows
+    data = load_dataset(spark, d, ["orders", "lineitem", "part"])
+    rows = data["orders"].select("o_orderkey", F.col("o_totalprice").alias("price"), F.length("o_orderpriority").cast("double").alias("words"))
+    rows = R.set_role(rows, ["price", "words"], R.TARGET)
+    items, parts = data["lineitem"].select("l_orderkey", "l_partkey", "l_returnflag"), R.set_role(data["part"].select("p_partkey", "p_brand"), "p_brand", R.CATEGORICAL)
+    dm = DataModel(Placeholder("population", ("o_orderkey",))).add("lineitem", "part")
+    dm.population.join(dm.lineitem, on=("o_orderkey", "l_orderkey"))
+    dm.lineitem.join(dm.part, on=("l_partkey", "p_partkey"))
+    tables, split = {"lineitem": items, "part": parts}, random_split()
+    pipe = Pipeline(dm, preprocessors=[prep.Mapping(min_freq=20)], feature_learners=[Propositionalizer(("AVG",), compare_units=False)])
+    pipe.fit(View(rows.where(split == "train"), tables), ["price", "words"])
+    found = pipe.transform(View(rows, tables)).where("lineitem__avg__l_returnflag__mean_target__for_price IS NOT NULL")
+    name = "lineitem__avg__{}__for_price"
+    columns = {"flag_price": "l_returnflag__mean_target", "flag_words": "l_returnflag__mean_target__words", "brand_price": "lineitem__part__avg__p_brand__mean_target"}
+    return rounded(found.select("o_orderkey", *[F.col(name.format(c)).alias(n) for n, c in columns.items()]))
+
+
 @query(
     "m9_check_levels",
     """SELECT 'row id missing' AS kind, 'population' AS place, (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT')::DOUBLE AS value

@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 
 from ..operators import prep
-from ..plans import predict
+from ..plans import mapping, predict
 from ..plans.features import Propositionalizer, _literal
 from ..plans.flow import Pipeline, words_table
 from ..plans.model import View
@@ -85,10 +85,17 @@ class _PipelineWriter(_Writer):
         frames = {"": self.pipe.prepared(self.data), **self.data.peripheral}
         for i, step in enumerate(self.pipe.preprocessors):
             if isinstance(step, prep.Mapping):
-                for c, means in step.tables.items():
-                    name = self.table(f"mapping{i}__{c}", means)
-                    source = self.view(f"mapped{i}__{c}", f"SELECT t.*, m.`{c}__mean_target`\nFROM {source} t LEFT JOIN {name} m ON t.`{c}` = m.`{c}`")
-                frames[""] = step.transform(frames[""])
+                for place, entries in self.pipe._mapped[i].items():
+                    for k, (c, new, means) in enumerate(entries):
+                        tag = f"{i}__{place or 'population'}__{k}"
+                        name = self.table(f"mapping{tag}", means)
+                        before = self.names.get(place, place) if place else source
+                        done = self.view(f"mapped{tag}", f"SELECT t.*, m.`{new}`\nFROM {before} t LEFT JOIN {name} m ON t.`{c}` = m.`{c}`")
+                        if place:
+                            self.names[place] = done
+                        else:
+                            source = done
+                    frames[place] = mapping.mapped(frames[place], entries)
                 continue
             if isinstance(step, prep.TextFieldSplitter):
                 ids = ", ".join(f"`{c}`" for c in step.row_id)
