@@ -43,7 +43,7 @@ def _(spark, d):
     return learner.transform(dm, view).select("c_custkey", F.col(learner.features()[0].name).cast("double").alias("feature"))
 
 
-@query("f5_inner_condition", two_joins(f"2 * {LATE} + 1"))
+@query("f5_inner_condition", two_joins(f"CASE WHEN l_orderkey IS NOT NULL THEN 2 * {LATE} + 1 END"))
 def _(spark, d):
     # a weight of one for every line and of two more beyond a line number
     dm, view = planted_customers(spark, d, f"2 * ({LATE}) + 1")
