@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from relweave.functions import exprs
 from relweave.functions.aggregates import Agg
-from relweave.functions.stats import t_two_sided_p
+from relweave.functions.stats import line_fit, t_two_sided_p
 from relweave.operators import grouping, graph, metrics, moments, prep, ranks, reshape, skew, splits, windows
 from relweave.operators import roles as R
 
@@ -186,3 +186,12 @@ def test_joins_do_not_depend_on_column_names(spark):
     aggs = [Agg("COUNT", name="o"), Agg("SUM", "v", name="s0"), Agg("MEDIAN", "v", name="hi"), Agg("MODE", "n", name="mean")]
     got = {r["k"]: tuple(r)[1:] for r in grouping.group_aggregate(df, ["k"], aggs).collect()}
     assert got == {1: (2, 12.0, 6.0, "a"), 2: (1, 1.0, 1.0, "a")}
+
+
+def test_line_through_two_points_is_certain(spark):
+    # c / sqrt(vx * vy) ends just below 1 for some of these
+    rows = [(g, float(x), y) for g in range(200) for x, y in ((1, 27.25 + g * 0.37), (2, 3.33 if g % 10 else 27.25 + g * 0.37))]
+    s = spark.createDataFrame(rows, "g long, x double, y double").groupBy("g").agg(F.count("x").alias("n"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"), F.covar_pop("x", "y").alias("c"))
+    n, zero = F.col("n"), F.lit(0.0)
+    p = line_fit(n, zero, zero, n * F.col("vx"), n * F.col("c"), n * F.col("vy"))["p"]
+    assert {r["g"]: r["p"] for r in s.select("g", p.alias("p")).collect()} == {g: 0.0 if g % 10 else 1.0 for g in range(200)}
