@@ -254,3 +254,19 @@ def test_ewma_over_thousands_of_half_lives(spark, memory):
         weights = [2.0 ** (t - last) for t, _, _ in seen]
         assert close(out[i]["e"], sum(w * x for w, (_, x, _) in zip(weights, seen)) / sum(weights)) and out[i]["n"] == len(seen)
 
+
+
+@pytest.mark.parametrize("horizon", [0, 10, -15])
+def test_quantiles_of_short_histories_need_no_refinement(spark, monkeypatch, horizon):
+    rng = random.Random(horizon)
+    rows = EDGES + [(100 + i, rng.choice([1, 2, 3, None]), rng.choice([None, rng.randrange(-200, 200)]), rng.choice([None, rng.gauss(0, 9), 2.0]), "a") for i in range(80)]
+    left, right = frame(spark, rows), frame(spark, rows).select("*")
+    aggs = [Agg("MEDIAN", "x", name="m"), Agg("QUANTILE", "x", name="q", param=0.05)]
+    monkeypatch.setattr(interval, "SMALL_HISTORY", interval.Profile(0, 0.0))
+    refined = run(left, right, aggs, horizon=horizon)
+    monkeypatch.undo()
+    monkeypatch.setattr(holistic, "aggregate", None)
+    for other in (right, left):
+        found = run(left, other, aggs, horizon=horizon)
+        assert found.keys() == refined.keys() == {r[0] for r in rows}
+        assert all(close(found[i][c], refined[i][c]) for i in found for c in ("m", "q"))
