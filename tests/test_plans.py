@@ -198,3 +198,22 @@ def test_rows_with_the_same_id_keep_their_features(spark, shared):
     found = learner.transform(dm, View(df, {"h": df})).collect()
     want = [(0, None), (1, 5.0), (1, 5.0), (0, None), (0, None), (0, None)]
     assert sorted((r["h__count"], r["h__sum__x"] or 0) for r in found) == sorted((n, s or 0) for n, s in want)
+
+
+def test_exported_mappings_are_resolved_once(spark, folder, tmp_path):
+    from relweave.operators import prep
+    from relweave.sources.pipeline_scripts import pipeline_scripts
+
+    rows = spark.createDataFrame([(i, "ab"[i % 2], float(i % 2) + i / 100) for i in range(40)], "id long, c string, y double")
+    rows = R.set_role(R.set_role(rows, "c", R.CATEGORICAL), "y", R.TARGET)
+    pipe = flow.Pipeline(DataModel(Placeholder("population", ("id",))), preprocessors=[prep.Mapping(min_freq=2)], feature_learners=[], predictors=[predict.LinearRegression()])
+    statements, stored = pipeline_scripts(pipe.fit(View(rows, {}), ["y"]), View(rows, {}), f"{tmp_path}/it's")
+    (made,) = [sql for name, sql in statements if name in stored]
+    assert " USING parquet " in made and not any("parquet.`" in sql for _, sql in statements)
+    for name, df in stored.items():
+        df.write.parquet(f"{tmp_path}/it's/{name}")
+    rows.createOrReplaceTempView("population")
+    for _, sql in statements:
+        spark.sql(sql)
+    told = {r["id"]: r["prediction__y"] for r in spark.table("PREDICTIONS").collect()}
+    assert told == pytest.approx({r["id"]: r["prediction__y"] for r in pipe.predict(View(rows, {})).collect()})
