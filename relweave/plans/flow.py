@@ -243,9 +243,12 @@ def sweep(build: Callable[..., Pipeline], grid: dict[str, list], train: View, va
     `accuracy(pipeline, validation)` gives the number to maximise.
     """
     results = []
+    held = [view.population.persist() for view in (train, validation) if not view.population.is_cached]  # every combination starts from them
     for values in product(*grid.values()):
         params = dict(zip(grid, values))
         pipe = build(**params).fit(train, targets)
         results.append((accuracy(pipe, validation), params, pipe))
+    for rows in held:
+        rows.unpersist()
     best = max(results, key=lambda r: r[0])
     return {"score": best[0], "params": best[1], "pipeline": best[2], "tried": [(s, p) for s, p, _ in results]}

@@ -217,3 +217,17 @@ def test_exported_mappings_are_resolved_once(spark, folder, tmp_path):
         spark.sql(sql)
     told = {r["id"]: r["prediction__y"] for r in spark.table("PREDICTIONS").collect()}
     assert told == pytest.approx({r["id"]: r["prediction__y"] for r in pipe.predict(View(rows, {})).collect()})
+
+
+def test_sweep_keeps_its_rows(spark, folder):
+    dm, orders, tables = order_model(spark, folder, "binary")
+    v, seen = views(orders, tables), []
+
+    def accuracy(pipe, view):
+        seen.append((v["train"].population.is_cached, view.population.is_cached))
+        return len(pipe.columns)
+
+    build = lambda aggregation: flow.Pipeline(dm, feature_learners=[Propositionalizer(aggregation, compare_units=False)])
+    found = flow.sweep(build, {"aggregation": [("COUNT",), ("COUNT", "SUM")]}, v["train"], v["validation"], ["y"], accuracy)
+    assert seen == [(True, True)] * 2 and found["params"] == {"aggregation": ("COUNT", "SUM")}
+    assert not v["train"].population.is_cached and not v["validation"].population.is_cached
