@@ -86,7 +86,8 @@ def _(spark, d):
     dm.orders.join(dm.lineitem, on=("o_orderkey", "l_orderkey"))
     dm.lineitem.join(dm.part, on=("l_partkey", "p_partkey"), relationship=MANY_TO_ONE)
     view = View(data["customer"], {k: data[k] for k in ("orders", "lineitem", "part")})
-    learner = Propositionalizer(("COUNT", "AVG", "SUM", "MEDIAN"), compare_units=False).fit(dm, view)
+    # only the scripts are wanted: the inner features are theirs to compute, once they are read
+    learner = Propositionalizer(("COUNT", "AVG", "SUM", "MEDIAN"), compare_units=False, shared=False).fit(dm, view)
     folder = scratch(spark, "scripts")
     statements = scripts.feature_scripts(learner, dm, view, "customer")
     scripts.save_scripts(spark, statements, folder, remove=True)

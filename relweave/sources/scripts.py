@@ -38,9 +38,8 @@ class _Writer:
                 source = self.lookup(source, inner, join, name, path)
             else:
                 relation = self.spec.nested[(*path, join.right.name)]
+                # a plain view: each statement above computes the columns it reads, not all features of the inner table
                 source = self.attach(source, inner, relation, list(place.row_id), name)
-                # several statements read this view: compute it once, spilled to disk where needed
-                self.statements.append((f"cache_{source}", f"CACHE LAZY TABLE {source}"))
         return source
 
     def lookup(self, source: str, inner: str, join: Join, name: str, path) -> str:
@@ -94,7 +93,7 @@ class _Writer:
             for tag, dtype in (("n", "DOUBLE"), ("s", "STRING")):
                 aggs = [a for a, f in zip(holistic, types) if isinstance(f.dataType, T.NumericType) == (dtype == "DOUBLE")]
                 if aggs:
-                    view = self.view(f"{prefix}__{tag}", grouping.histogram_sql(rkeys, aggs, right, dtype))
+                    view = self.view(f"{prefix}__{tag}", grouping.histogram_sql(rkeys, aggs, right, dtype, deal=True))
                     out.append((view, list(relation.join.on), aggs))
         return out
 
