@@ -78,18 +78,12 @@ def diff_prev(df: DataFrame, keys: list[str], order: str, col: str, name: str) -
 def next_event(df: DataFrame, keys: list[str], ts: str, row_id: list[str], col: str, name: str) -> DataFrame:
     """Smallest `col` among the group's earliest strictly later rows.
 
-    Looking forward is looking back on the negated time axis, so the linear head form
-    of the interval join applies and hot groups are split.
+    One row per moment of a group knows the next one; hot groups are numbered in segments.
     """
-    order = order_sql(df, ts)
-    back = df.withColumn("__neg", F.expr(f"-({order})"))
-    aggs = [Agg("LAST", "`__neg`", name="__at")]
-    at = interval.range_aggregate(
-        back, back, aggs, on=[(k, k) for k in keys], times=("__neg", "__neg"), row_id=row_id, horizon=1
-    )
-    first = back.groupBy(*keys, "__neg").agg(F.min(col).alias(name)).withColumnRenamed("__neg", "__at")
-    rows = df.select(*row_id, *keys).join(at, row_id, "left")
-    return rows.join(first, [*keys, "__at"], "left").select(*row_id, name)
+    rows = df.withColumn("__at", F.expr(order_sql(df, ts)))
+    first = rows.dropna(subset=[*keys, "__at"]).groupBy(*keys, "__at").agg(F.min(col).alias("__first"))
+    following = lag_rows(first, keys, ["__at"], "__first", -1, name).select(*keys, "__at", name)
+    return rows.select(*row_id, *[k for k in [*keys, "__at"] if k not in row_id]).join(following, [*keys, "__at"], "left").select(*row_id, name)
 
 
 def next_is(df: DataFrame, keys, ts, row_id, flag: str, name: str) -> DataFrame:
