@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
 from . import ranks, skew
 
 
@@ -27,11 +28,11 @@ def symmetrise(edges: DataFrame, src: str, dst: str) -> DataFrame:
 def bag_of_words(content: DataFrame, node: str, word_index: str) -> DataFrame:
     """Multi-hot word vector per node as the sorted list of its set positions.
 
-    Pairs are made distinct before they are gathered, so a list is never longer than
-    the vocabulary, however often a node repeats its words.
+    Pairs are gathered as sets, so a list is never longer than the vocabulary, however
+    often a node repeats its words.
     """
-    pairs = content.select(node, word_index).dropna().distinct()
-    return pairs.groupBy(node).agg(F.sort_array(F.collect_list(word_index)).alias("word_positions"))
+    pairs = content.select(node, word_index).dropna()
+    return pairs.groupBy(node).agg(F.sort_array(F.collect_set(word_index)).alias("word_positions"))
 
 
 def to_dense(positions: Column, size: int) -> Column:
@@ -101,7 +102,11 @@ def gap_pattern(positions: DataFrame, key: str, position: str) -> DataFrame:
 
 
 def match_by_gaps(a: DataFrame, b: DataFrame, a_key: str, b_key: str, position: str) -> DataFrame:
-    """Each key of `a` with the smallest key of `b` that has the same gap pattern."""
-    left, right = gap_pattern(a, a_key, position), gap_pattern(b, b_key, position)
+    """Each key of `a` with the smallest key of `b` that has the same gap pattern.
+
+    Patterns are as long as the texts, so their SHA-256 digests are compared; these are kept, as they are read several times.
+    """
+    digest = F.sha2(F.array_join(F.col("pattern").cast("array<string>"), ","), 256)
+    left, right = [checkpoint(gap_pattern(rows, key, position).select(key, digest.alias("pattern"))) for rows, key in ((a, a_key), (b, b_key))]
     first = right.groupBy("pattern").agg(F.min(b_key).alias(b_key))
     return skew.skew_join(left, first, ["pattern"], "inner").select(a_key, b_key)

@@ -12,7 +12,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import plan_bytes
+from ..session import checkpoint, plan_bytes
 from . import skew
 
 PIECE_BYTES = 64 * 2**20
@@ -152,8 +152,11 @@ def group_row_number(df: DataFrame, keys: list[str], order: list[str], name: str
 
 
 def encode_category(df: DataFrame, col: str, code: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Dense codes 0, 1, ... in the order of the labels; returns (coded rows, code table)."""
+    """Dense codes 0, 1, ... in the order of the labels; returns (coded rows, code table).
+
+    The labels are read several times, the rows may be costly: labels are counted once and kept.
+    """
     code = code or f"{col}_enc"
-    labels = df.select(col).dropna().distinct()
-    table = with_row_id(labels, [col], code)
-    return skew.skew_join(df, table, [col], "left"), table
+    labels = checkpoint(df.select(col).dropna().groupBy(col).agg(F.count(F.lit(1)).alias("__n")))
+    table = with_row_id(labels.select(col), [col], code)
+    return skew.skew_join(df, table, [col], "left", sizes=labels), table

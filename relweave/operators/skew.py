@@ -22,15 +22,19 @@ def hot_rows(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.relweave.hotRows", "20000000"))
 
 
-def hot_groups(df: DataFrame, cols: list[str]) -> tuple[list, int]:
+def hot_groups(df: DataFrame, cols: list[str], sizes: DataFrame | None = None) -> tuple[list, int]:
     """Hot groups of `df` with their row counts, and the row limit they exceed.
 
     Nothing is counted while the whole input is so small that no group can be hot.
-    The counting itself is a partial aggregate over the group columns only.
+    The counting itself is a partial aggregate over the group columns only. `sizes` holds the
+    groups and their row counts `__n` where these are known already.
     """
     limit = hot_rows(df.sparkSession)
     if plan_bytes(df) <= limit:
         return [], limit
+    if sizes is not None:
+        limit = max(limit, (sizes.agg(F.sum("__n")).first()[0] or 0) // MAX_HOT_GROUPS)
+        return sizes.where(F.col("__n") > limit).select(*cols, "__n").collect(), limit
     limit = max(limit, df.count() // MAX_HOT_GROUPS)
     if not cols:
         total = df.count()
@@ -93,8 +97,8 @@ def _broadcastable(df: DataFrame) -> bool:
     return threshold > 0 and output_bytes(df) <= threshold
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Equi-join whose left side may have hot keys; `right` holds few rows per key.
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", sizes: DataFrame | None = None) -> DataFrame:
+    """Equi-join whose left side may have hot keys; `right` holds few rows per key. `sizes` as in `hot_groups`.
 
     A right side below the broadcast threshold needs no shuffle, so Spark's own
     choice is kept. Otherwise left rows of hot keys are spread over salts and only the
@@ -104,7 +108,7 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left
     if _broadcastable(right):
         return left.join(right, on, how)
     keyed = left.select(*on).dropna()
-    hot, _ = hot_groups(keyed, on)
+    hot, _ = hot_groups(keyed, on, sizes)
     null_key = F.lit(False)
     for c in on:
         null_key = null_key | F.col(c).isNull()

@@ -40,7 +40,7 @@ p AS (SELECT doc_id, code FROM w JOIN v USING (word))"""
 
 
 def word_codes(spark, d):
-    words = table(spark, d, "documents").select("doc_id", F.explode(prep.words("text")).alias("word")).distinct()
+    words = table(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(prep.words("text"))).alias("word"))
     return ranks.encode_category(words, "word", "code")[0].select("doc_id", "code")
 
 
