@@ -8,11 +8,11 @@ from relweave.operators import moments
 from relweave.plans import select
 
 
-def jobs(spark, work):
-    spark.sparkContext.setJobGroup(f"passes-{id(work)}", "")
+def jobs(spark, group, work):
+    spark.sparkContext.setJobGroup(group, "")
     found = work()
     spark.sparkContext.setJobGroup("", "")
-    return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"passes-{id(work)}"))
+    return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
 
 def test_one_pass_for_all_columns(spark):
@@ -23,8 +23,8 @@ def test_one_pass_for_all_columns(spark):
         data.append((good, noise, 3.0, None if rng.random() < 0.1 else good * good, 2 * good + rng.gauss(0, 1)))
     df = spark.createDataFrame(data, "good double, noise double, flat double, square double, y double")
     names = ["good", "noise", "flat", "square"]
-    _, once = jobs(spark, lambda: moments.cross_moments(df, names, F.col("y")))
-    kept, used = jobs(spark, lambda: select.select_relevant(df, names, "y"))
+    _, once = jobs(spark, "once", lambda: moments.cross_moments(df, names, F.col("y")))
+    kept, used = jobs(spark, "used", lambda: select.select_relevant(df, names, "y"))
     assert kept == ["good"] and used == once
     assert select.select_relevant(df.withColumn("y", F.lit(1.0)), names, "y") == []
     assert select.select_relevant(df.withColumn("y", F.col("good")), names, "y") == ["good"]
