@@ -209,8 +209,15 @@ def _deal_first(df: DataFrame, keys: list[str], states: int, columns: int) -> bo
     """Whether the rows themselves are less to shuffle than the states of the groups that tasks meet.
 
     Where keys repeat little within a task, partial aggregation leaves as many rows as before, each
-    as wide as all states. Rows of hot keys are never dealt.
+    as wide as all states. Rows of hot keys are never dealt. Looked at once a frame.
     """
+    known = df.__dict__.setdefault("_deal_first", {})
+    if (*keys, states, columns) not in known:
+        known[*keys, states, columns] = _rows_are_less(df, keys, states, columns)
+    return known[*keys, states, columns]
+
+
+def _rows_are_less(df: DataFrame, keys: list[str], states: int, columns: int) -> bool:
     keyed = df.select(*[F.col(f"`{k}`") for k in keys]).dropna()
     met = keyed.groupBy(F.spark_partition_id().alias("__p")).agg(F.count(F.lit(1)).alias("__n"), F.approx_count_distinct(F.xxhash64(*[F.col(f"`{k}`") for k in keys])).alias("__d"))
     row = met.agg(F.sum("__n"), F.sum("__d")).first()

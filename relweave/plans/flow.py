@@ -91,10 +91,13 @@ class Pipeline:
         self._peripheral = view.peripheral
         prepared = self._prepare(view, targets, fit=True)
         self._tables = prepared.peripheral
-        # with several targets, each gets learners of its own
-        self._learners = [(None if len(targets) == 1 else t, learner if t == targets[0] else copy.deepcopy(learner)) for t in targets for learner in self.learners]
+        # with several targets, each gets learners of its own, unless they do not look at it
+        self._learners = [(None if len(targets) == 1 else t, learner if t == targets[0] or not _looks(learner) else copy.deepcopy(learner)) for t in targets for learner in self.learners]
+        fitted = set()
         for target, learner in self._learners:
-            learner.fit(self._model, prepared, target or targets[0])
+            if id(learner) not in fitted:
+                learner.fit(self._model, prepared, target or targets[0])
+            fitted.add(id(learner))
         if self.include_categorical:
             self._categories = IncludeCategorical(R.roles(prepared.population)[R.CATEGORICAL]).fit(prepared.population)
         flat = self._flat(prepared)
@@ -177,6 +180,11 @@ class Pipeline:
         return Catalogue(spark.createDataFrame(rows, schema))
 
 
+def _looks(learner) -> bool:
+    """Whether what a learner finds depends on the target."""
+    return not isinstance(learner, Propositionalizer) or bool(learner.num_features or learner.num_subfeatures)
+
+
 def words_table(column: str) -> str:
     return f"words_of_{column}"
 

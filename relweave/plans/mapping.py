@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import roles as R
 from ..operators import skew
@@ -18,6 +20,8 @@ from . import pushdown
 from .features import shared_rows
 from .model import Join
 
+FEW = 1000  # categories
+
 
 def name_of(column: str, target: str, first: str) -> str:
     """The first target's means have the plain name."""
@@ -26,38 +30,56 @@ def name_of(column: str, target: str, first: str) -> str:
 
 def fitted(population: DataFrame, tables: dict[str, DataFrame], joins: list[Join], targets: list[str], min_freq: int) -> dict[str, list[tuple[str, str, DataFrame]]]:
     """Table name ("" is the population) -> (category, new column, means of categories met `min_freq` times)."""
-    sums: dict[tuple[str, str, str], list[DataFrame]] = {}
+    names = {t: (f"__s{i}", f"__n{i}") for i, t in enumerate(targets)}
+    columns = tuple(c for pair in names.values() for c in pair)
+    sums: dict[tuple[str, str], list[DataFrame]] = {}
+    held: list[DataFrame] = []
 
-    def add(name: str, rows: DataFrame, columns: list[str], target: str) -> None:
-        for c in columns:
+    def add(name: str, rows: DataFrame, categories: list[str]) -> None:
+        for c in categories:
             part = rows.where(F.col(f"`{c}`").isNotNull()).groupBy(F.col(f"`{c}`").alias(c))
-            sums.setdefault((name, c, target), []).append(part.agg(F.sum(pushdown.GRADIENT).alias("__s"), F.sum(pushdown.WEIGHT).alias("__n")))
+            sums.setdefault((name, c), []).append(part.agg(*[F.sum(x).alias(x) for x in columns]))
 
-    def descend(rows: DataFrame, below: list[Join], target: str) -> None:
+    def descend(rows: DataFrame, below: list[Join]) -> None:
         for join in below:
             right = tables[join.right.name]
             if any(l not in rows.columns for l, _ in join.on):  # a key that a lookup brings along
                 continue
             keys = {r for _, r in join.on}
-            columns = [c for c in R.roles(right)[R.CATEGORICAL] if c not in keys]
-            if not columns and not join.right.joins:
+            categories = [c for c in R.roles(right)[R.CATEGORICAL] if c not in keys]
+            if not categories and not join.right.joins:
                 continue
-            pushed = shared_rows(pushdown.carried(rows, join, right))
-            add(join.right.name, pushed, columns, target)
-            descend(pushed, join.right.joins, target)
-
-    for target in targets:
-        rows = population.where(F.col(f"`{target}`").isNotNull()).withColumn(pushdown.GRADIENT, F.col(f"`{target}`").cast("double")).withColumn(pushdown.WEIGHT, F.lit(1.0))
-        add("", rows, R.roles(population)[R.CATEGORICAL], target)
-        descend(rows, [j for j in joins if not j.is_lookup], target)  # columns of a lookup are the population's by now
+            pushed = pushdown.carried(rows, join, right, columns)
+            further = [c for j in join.right.joins for c in (*[l for l, _ in j.on], *(j.time_stamps or ())[:1])]
+            wanted = dict.fromkeys([*categories, *[c for c in further if c in pushed.columns], *columns])
+            pushed = pushed.select(*[F.col(f"`{c}`") for c in wanted]).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(pushed)
+            add(join.right.name, pushed, categories)
+            descend(pushed, join.right.joins)
+
+    # all targets go down together; a row without a target counts for the others
+    rows = population.withColumns({c: e for t, (s, n) in names.items() for c, e in ((s, F.col(f"`{t}`").cast("double")), (n, F.col(f"`{t}`").isNotNull().cast("double")))})
+    add("", rows, R.roles(population)[R.CATEGORICAL])
+    descend(rows, [j for j in joins if not j.is_lookup])  # columns of a lookup are the population's by now
     out: dict[str, list[tuple[str, str, DataFrame]]] = {}
-    for (name, c, target), parts in sums.items():
-        new = name_of(c, target, targets[0])
-        total = reduce(DataFrame.unionByName, parts).groupBy(f"`{c}`").agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
-        out.setdefault(name, []).append((c, new, total.where(F.col("__n") >= min_freq).select(f"`{c}`", (F.col("__s") / F.col("__n")).alias(new))))
+    totals = {(name, c): _stored(reduce(DataFrame.unionByName, parts).groupBy(f"`{c}`").agg(*[F.sum(x).alias(x) for x in columns])) for (name, c), parts in sums.items()}
+    for target, (s, n) in names.items():
+        for (name, c), total in totals.items():
+            new = name_of(c, target, targets[0])
+            means = total.where((F.col(n) > 0) & (F.col(n) >= min_freq)).select(f"`{c}`", (F.col(s) / F.col(n)).alias(new))
+            out.setdefault(name, []).append((c, new, means))
+    for rows in held:
+        rows.unpersist()
     return out
 
 
+def _stored(total: DataFrame) -> DataFrame:
+    """The sums of a column's categories, added up once. Few of them are constants of later plans, which need no shuffle then."""
+    rows = shared_rows(total)
+    few = rows.limit(FEW + 1).collect() if isinstance(total.schema.fields[0].dataType, T.StringType) else None
+    return rows if few is None or len(few) > FEW else rows.sparkSession.createDataFrame(few, total.schema)
+
+
 def mapped(df: DataFrame, entries: list[tuple[str, str, DataFrame]]) -> DataFrame:
     for c, new, means in entries:
         df = skew.skew_join(df, means, [c], "left").withMetadata(new, {"role": R.NUMERICAL})

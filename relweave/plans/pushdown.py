@@ -25,27 +25,27 @@ GRADIENT, WEIGHT = "__g", "__h"
 CHUNK = 200
 
 
-def carried(left: DataFrame, join: Join, right: DataFrame) -> DataFrame:
-    """`right` with the sums of the gradients and weights of the left rows that each row joins to.
+def carried(left: DataFrame, join: Join, right: DataFrame, columns: tuple[str, ...] = (GRADIENT, WEIGHT)) -> DataFrame:
+    """`right` with the sums of the gradients and weights (or other `columns`, the last never null) of the left rows that each row joins to.
 
     With time bounds these are the left rows at least the horizon and less than horizon
     plus memory later: the same window, looked at from the other side, on reversed time.
     Right rows that no left row sees are left out.
     """
-    right = right.drop(GRADIENT, WEIGHT)
+    right = right.drop(*columns)
     keys = [r for _, r in join.on]
     if join.time_stamps is None:
-        sums = left.groupBy(*[F.col(f"`{l}`").alias(r) for l, r in join.on]).agg(F.sum(GRADIENT).alias(GRADIENT), F.sum(WEIGHT).alias(WEIGHT))
+        sums = left.groupBy(*[F.col(f"`{l}`").alias(r) for l, r in join.on]).agg(*[F.sum(c).alias(c) for c in columns])
         return skew.skew_join(right, sums.dropna(subset=keys), keys, "inner")
     before, after = join.time_stamps
     held = shared_rows(right.withColumn("__row", F.monotonically_increasing_id()))
-    later = left.select(*[F.col(f"`{l}`") for l in dict.fromkeys(l for l, _ in join.on)], F.expr(f"-({order_sql(left, before)})").alias("__t"), GRADIENT, WEIGHT)
+    later = left.select(*[F.col(f"`{l}`") for l in dict.fromkeys(l for l, _ in join.on)], F.expr(f"-({order_sql(left, before)})").alias("__t"), *columns)
     rows = held.select("__row", *[F.col(f"`{r}`") for r in dict.fromkeys(keys)], F.expr(f"-({order_sql(held, after)})").alias("__t"))
-    sums = [Agg("SUM", f"`{c}`", None, c) for c in (GRADIENT, WEIGHT)]
+    sums = [Agg("SUM", f"`{c}`", None, c) for c in columns]
     found = interval.range_aggregate(
         rows, later, sums, on=[(r, l) for l, r in join.on], times=("__t", "__t"), row_id=["__row"], horizon=join.horizon, memory=join.memory
     )
-    return held.join(found.where(F.col(WEIGHT).isNotNull()), "__row").drop("__row")
+    return held.join(found.where(F.col(columns[-1]).isNotNull()), "__row").drop("__row")
 
 
 def gains(rows: DataFrame, conditions: list[str], values: list[str | None]) -> dict[tuple[str, str | None], float]:
