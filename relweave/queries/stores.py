@@ -91,10 +91,11 @@ def _(spark, d):
     folder = scratch(spark, "scripts")
     statements = scripts.feature_scripts(learner, dm, view, "customer")
     scripts.save_scripts(spark, statements, folder, remove=True)
-    for name, df in data.items():
-        tables.register(df, name)
-    scripts.run_sql_folder(spark, folder)
-    return rounded(spark.table("FEATURES").select("c_custkey", "orders__count", *SCRIPT_COLS))
+    with scripts.own_views(spark):
+        for name, df in data.items():
+            tables.register(df, name)
+        scripts.run_sql_folder(spark, folder)
+        return rounded(spark.table("FEATURES").select("c_custkey", "orders__count", *SCRIPT_COLS))
 
 
 @query(
@@ -117,11 +118,12 @@ def _(spark, d):
     learner = Propositionalizer(("COUNT", "SUM", "MEDIAN"), compare_units=False).fit(dm, view)
     folder = scratch(spark, "scripts")
     scripts.save_scripts(spark, scripts.feature_scripts(learner, dm, view, "orders"), folder)
-    tables.register(data["orders"], "orders")
-    scripts.run_sql_folder(spark, folder)
-    return rounded(
-        spark.table("FEATURES").select("o_orderkey", "orders__count", "orders__sum__o_totalprice", "orders__median__o_totalprice")
-    )
+    with scripts.own_views(spark):
+        tables.register(data["orders"], "orders")
+        scripts.run_sql_folder(spark, folder)
+        return rounded(
+            spark.table("FEATURES").select("o_orderkey", "orders__count", "orders__sum__o_totalprice", "orders__median__o_totalprice")
+        )
 
 
 @query("s9_csv_sink", ORDERS)
