@@ -2,6 +2,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -35,3 +36,15 @@ def hot(spark):
     spark.conf.set("spark.relweave.hotRows", "5")
     yield
     spark.conf.unset("spark.relweave.hotRows")
+
+
+@pytest.fixture(autouse=True)
+def no_views_left():
+    """Temporary views that a test leaves behind break when a later one replaces what they read."""
+    session = SparkSession.getActiveSession()
+    names = lambda s: {r.viewName for r in s.sql("SHOW VIEWS").collect() if r.isTemporary} if s else set()
+    before = names(session)
+    yield
+    session = SparkSession.getActiveSession()
+    for name in names(session) - before:
+        session.catalog.dropTempView(name)
